@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from kinfold.llm import mixing, sharding
+from kinfold.llm import bpe, mixing, sharding
 
 QUERIES = {
     "op2_jump_shards": sharding.op2_jump_shards,
+    "op3_prefix_bpe": bpe.op3_prefix_bpe,
     "op8_splitting_tree_mix": mixing.op8_splitting_tree_mix,
 }
 ORACLES: dict[str, str] = {}
