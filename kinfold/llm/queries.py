@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from kinfold.llm import bpe, lines, mixing, sharding, vectors
+from kinfold.llm import bpe, lines, mixing, setsketch, sharding, vectors
 
 QUERIES = {
     "op1_multi_index": vectors.op1_multi_index,
     "op2_jump_shards": sharding.op2_jump_shards,
     "op3_prefix_bpe": bpe.op3_prefix_bpe,
     "op4_levelled_line_dedup": lines.op4_levelled_line_dedup,
+    "op5_setsketch": setsketch.op5_setsketch,
     "op8_splitting_tree_mix": mixing.op8_splitting_tree_mix,
 }
 ORACLES: dict[str, str] = {
     "op1_multi_index": vectors.OP1_SQL,
     "op4_levelled_line_dedup": lines.OP4_SQL,
+    "op5_setsketch": setsketch.OP5_SQL,
 }
