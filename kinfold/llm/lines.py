@@ -62,9 +62,10 @@ class LineRuns:
     def add(self, batch: DataFrame) -> None:
         """``batch`` has a column ``keys``, one array of line hashes a document."""
         lines = batch.select(F.explode(F.array_distinct("keys")).alias("k")).where("k is not null").select("k.k1", "k.k2")
+        own = lines.groupBy(*KEY).agg(F.count("*").alias("n"))  # first, so that a common line is one row a task
         for run in self.known:
-            lines = lines.join(run.hint("merge"), KEY, "left_anti")
-        self._add_run(0, self._run(lines.groupBy(*KEY).agg(F.count("*").alias("n"))))
+            own = own.join(run.hint("merge"), KEY, "left_anti")
+        self._add_run(0, self._run(own))
 
     def _add_run(self, level: int, run: DataFrame) -> None:
         if level == len(self.levels):
