@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinfold.llm import bpe, imatch, lines, mixing, setsketch, sharding, vectors
+from kinfold.llm import bpe, imatch, licenses, lines, mixing, setsketch, sharding, vectors
 
 QUERIES = {
     "op1_multi_index": vectors.op1_multi_index,
@@ -12,9 +12,11 @@ QUERIES = {
     "op5_setsketch": setsketch.op5_setsketch,
     "op7_imatch": imatch.op7_imatch,
     "op8_splitting_tree_mix": mixing.op8_splitting_tree_mix,
+    "op10_license_scan": licenses.op10_license_scan,
 }
 ORACLES: dict[str, str] = {
     "op1_multi_index": vectors.OP1_SQL,
     "op4_levelled_line_dedup": lines.OP4_SQL,
     "op5_setsketch": setsketch.OP5_SQL,
+    "op10_license_scan": licenses.OP10_SQL,
 }
