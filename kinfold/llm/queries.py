@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinfold.llm import bpe, imatch, licenses, lines, mixing, setsketch, sharding, vectors
+from kinfold.llm import bpe, imatch, licenses, lines, mixing, setsketch, sharding, toxicity, vectors
 
 QUERIES = {
     "op1_multi_index": vectors.op1_multi_index,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_prefix_bpe": bpe.op3_prefix_bpe,
     "op4_levelled_line_dedup": lines.op4_levelled_line_dedup,
     "op5_setsketch": setsketch.op5_setsketch,
+    "op6_string_kernel": toxicity.op6_string_kernel,
     "op7_imatch": imatch.op7_imatch,
     "op8_splitting_tree_mix": mixing.op8_splitting_tree_mix,
     "op10_license_scan": licenses.op10_license_scan,
