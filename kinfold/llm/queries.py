@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinfold.llm import bpe, imatch, licenses, lines, mixing, setsketch, sharding, toxicity, vectors
+from kinfold.llm import bpe, imatch, licenses, lines, mixing, pseudo_lm, setsketch, sharding, toxicity, vectors
 
 QUERIES = {
     "op1_multi_index": vectors.op1_multi_index,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_string_kernel": toxicity.op6_string_kernel,
     "op7_imatch": imatch.op7_imatch,
     "op8_splitting_tree_mix": mixing.op8_splitting_tree_mix,
+    "op9_pseudo_likelihood": pseudo_lm.op9_pseudo_likelihood,
     "op10_license_scan": licenses.op10_license_scan,
 }
 ORACLES: dict[str, str] = {
