@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from kinfold.llm import bpe, imatch, licenses, lines, mixing, pseudo_lm, setsketch, sharding, toxicity, vectors
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_splitting_tree_mix": mixing.op8_splitting_tree_mix,
     "op9_pseudo_likelihood": pseudo_lm.op9_pseudo_likelihood,
     "op10_license_scan": licenses.op10_license_scan,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op1_multi_index": vectors.OP1_SQL,
