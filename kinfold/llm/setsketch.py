@@ -38,6 +38,8 @@ SPACING, SCALE, TOP = 1.001, 64.0, 65_534
 MARGIN = 0.16
 #: Members of a bucket compared in one task, on either side.
 BLOCK = 1_024
+#: Shingles whose membership is laid out in one table.
+COLUMNS = 4_096
 #: Below so many candidate documents (8 bytes each), their ids are broadcast.
 FEW = 500_000
 
@@ -144,35 +146,76 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, packed binary").dropDuplicates(["node"])
 
 
-def rest_of_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Likely pairs (a, b) that share a bucket but not a component.
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """(len(a), len(b)): the intersection sizes of sorted sets, by products of membership tables over
+    the shingles that both sides hold, some columns at a time."""
+    shared = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)), assume_unique=True)
+    out = np.zeros((len(a), len(b)), np.float32)
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        values, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(shared, values), max(len(shared) - 1, 0))
+        met = shared[at] == values if len(shared) else np.zeros(len(values), bool)
+        order = np.argsort(at[met], kind="stable")
+        return at[met][order], rows[met][order]
+
+    (at_a, row_a), (at_b, row_b) = places(a), places(b)
+    for start in range(0, len(shared), COLUMNS):
+        tables = []
+        for at, row, n in ((at_a, row_a, len(a)), (at_b, row_b, len(b))):
+            lo, hi = np.searchsorted(at, [start, start + COLUMNS])
+            table = np.zeros((n, min(COLUMNS, len(shared) - start)), np.float32)
+            table[row[lo:hi], at[lo:hi] - start] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out
+
+
+def rest_of_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between members of a bucket that are in different components so far.
 
     In each bucket the members outside its largest component ask all its members.  Both sides are
-    cut into blocks by hash, so tasks are bounded and a bucket of any size is gone through whole.
+    cut into blocks by hash, so tasks are bounded and a bucket of any size is gone through whole.  A
+    task sorts out by registers, confirms on the full sets, and returns the links alone, so the
+    pairs of a large group never become rows.  A pair is looked at in the first bucket it shares.
     """
+    least = percent / 100
     known = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     parts = known.groupBy("key", "component").agg(F.count("*").alias("size"))
     buckets = parts.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most")).where(F.col("all") > F.col("most"))
-    blocks = buckets.select("key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("held"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("asking"))
+    blocks = written(buckets.select("key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("held"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("asking")))
     rows = written(known.join(blocks, "key"))
     salt = lambda c: F.pmod(F.xxhash64(F.lit(13), "node"), F.col(c)).cast("int")
     span = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     asks = rows.where("component <> main").select("key", "node", "component", F.lit(True).alias("asks"), salt("asking").alias("x"), span("held").alias("y"))
     held = rows.select("key", "node", "component", F.lit(False).alias("asks"), span("asking").alias("x"), salt("held").alias("y"))
-    both = asks.unionByName(held).join(nodes.select("node", "n", "regs"), "node")
+    wanted = rows.select("node").distinct()
+    full = written(nodes.select("node", "bands", "regs").join(wanted, "node").join(sets, "node"))
+    both = asks.unionByName(held).join(full, "node")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         q, h = group[group.asks], group[~group.asks]
-        out = [np.empty((0, 2), np.int64)]
-        values, n, ids, parts = _values(h.regs), h.n.to_numpy(float), h.node.to_numpy(), h.component.to_numpy()
-        for regs, size, node, part in zip(_values(q.regs), q.n, q.node, q.component, strict=True):
-            same = (values == regs).sum(1)
-            found = np.flatnonzero((parts != part) & (same >= (least - 2 * MARGIN) * REGISTERS))
-            if len(found):
-                more, less = (regs > values[found]).sum(1), (regs < values[found]).sum(1)
-                found = found[likeliest(more, less, np.full(len(found), float(size)), n[found]) >= least - MARGIN]
-                out.append(np.c_[np.minimum(ids[found], node), np.maximum(ids[found], node)])
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+        if not len(q) or not len(h):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        at = int(np.flatnonzero(q.bands.iloc[0] == group.key.iloc[0])[0])
+        open_ = q.component.to_numpy()[:, None] != h.component.to_numpy()[None]
+        q_bands, h_bands = np.stack(q.bands.to_numpy()), np.stack(h.bands.to_numpy())
+        for band in range(at):
+            open_ &= q_bands[:, band, None] != h_bands[None, :, band]
+        q_sets, h_sets = ([np.frombuffer(p, "<u8") for p in side.packed] for side in (q, h))
+        q_sizes, h_sizes = np.array([len(s) for s in q_sets], float), np.array([len(s) for s in h_sets], float)
+        q_regs, h_regs = _values(q.regs), _values(h.regs)
+        for i in np.flatnonzero(open_.any(1)):
+            j = np.flatnonzero(open_[i])
+            more, less = (q_regs[i] > h_regs[j]).sum(1), (q_regs[i] < h_regs[j]).sum(1)
+            open_[i, j] = likeliest(more, less, np.full(len(j), q_sizes[i]), h_sizes[j]) >= least - MARGIN
+        i, j = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0))
+        if not len(i):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        common = common_counts([q_sets[x] for x in i], [h_sets[x] for x in j])
+        linked = open_[np.ix_(i, j)] & (100 * common >= percent * (q_sizes[i][:, None] + h_sizes[j][None] - common))
+        x, y = np.nonzero(linked)
+        return pd.DataFrame({"a": q.node.to_numpy()[i[x]], "b": h.node.to_numpy()[j[y]]})
 
     return both.groupBy("key", "x", "y").applyInPandas(run, "a long, b long").distinct()
 
@@ -186,14 +229,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     nodes = written(nodes)
     members = nodes.select("node", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("first")).where("size > 1")
+    buckets = written(buckets)
     members = written(members.join(buckets.select("key", F.col("first.node").alias("centre")), "key"))
     wanted = members.select("node").distinct().join(nodes.select("node", "t1", "t2"), "node")
     sets = written(shingle_table(docs, written(wanted), words))
     stars = members.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     links = written(confirmed(likely(stars, nodes, percent / 100), sets, percent))
     labels = written(components(links).select("node", "component"))
-    rest = rest_of_buckets(members.select("key", "node"), labels, nodes, percent / 100)
-    more = written(confirmed(rest, sets, percent))
+    more = written(rest_of_buckets(members.select("key", "node"), labels, nodes, sets, percent))
     groups = components(links.unionByName(more)).select(F.col("node").alias("root"), "component")
     of_text = nodes.select("t1", "t2", "node").join(groups, F.col("node") == F.col("root"), "left").select("t1", "t2", F.coalesce("component", "node").alias("component"))
     out = rows.select("id", "n", "t1", "t2").join(of_text, ["t1", "t2"], "left")
