@@ -288,20 +288,22 @@ def held_out(id_column: Column) -> Column:
     return F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(5)) == 0
 
 
-def train(labelled: DataFrame) -> Machine | None:
-    """A machine from (id, text, toxic): at most about TOXIC and CLEAN texts, drawn by a hash of id."""
-    sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def train(texts: DataFrame, labels: DataFrame) -> Machine | None:
+    """A machine from (id, text) and (id, toxic): at most about TOXIC and CLEAN texts, drawn by a hash
+    of id.  The drawn labels, so many at most, go to the texts, which stay where they are."""
+    labels = labels.where(F.col("toxic").isin(0, 1) & F.col("id").isNotNull())
+    sizes = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
     draw = F.pmod(F.xxhash64(F.lit(17), "id"), F.lit(1_000_000)) / 1_000_000.0
     wanted = F.when(F.col("toxic") == 1, F.lit(TOXIC / sizes[1])).otherwise(F.lit(CLEAN / sizes[0]))
+    drawn = labels.where(draw < wanted).select("id", F.col("toxic").cast("int").alias("toxic"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"toxic": batch.toxic, "units": [" ".join(sorted(set(units(t)))) for t in batch.text]})
 
-    rows = labelled.where(F.col("toxic").isin(0, 1) & (draw < wanted)).select("id", "text", F.col("toxic").cast("int").alias("toxic"))
-    rows = rows.mapInPandas(run, "toxic int, units string").toPandas().sort_values(["toxic", "units"])
+    rows = texts.join(F.broadcast(drawn), "id").select("id", "text", "toxic").mapInPandas(run, "toxic int, units string").toPandas().sort_values(["toxic", "units"])
     parts = {t: [u.split(" ") if u else [] for u in rows.units[rows.toxic == t]] for t in (0, 1)}
     if not any(parts[1]) or not any(parts[0]):
         return None
@@ -332,7 +334,7 @@ def machine_from(spark, sf_dir: str) -> Machine | None:
     """Trained on the labels whose ids aren't held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), text_or_empty("text").alias("text"))
-    return train(texts.join(labels, "id"))
+    return train(texts, labels)
 
 
 def op6_string_kernel(spark, sf_dir: str) -> DataFrame:
