@@ -26,7 +26,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,7 +43,7 @@ WORST = 3
 #: Letters of a unit looked at once; longer ones are cut into overlapping pieces.
 LONGEST = 24
 #: Labelled texts that are trained on, at most about, and landmarks of either kind.
-TOXIC, CLEAN, LANDMARKS = 2_500, 3_500, 96
+TOXIC, CLEAN, LANDMARKS = 1_000, 2_200, 64
 #: Margins that a worker keeps, in two generations, and characters that it scores at once.
 MAX_UNITS, TEXTS_AT_ONCE = 400_000, 4_000_000
 
@@ -216,24 +216,29 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float)
 
 def _first_guess(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]:
     """How much more often stretches of four and five letters stand in toxic than in clean texts."""
-    def counted(texts: list[set[str]]) -> Counter:
-        seen: Counter = Counter()
-        for t in texts:
-            seen.update({u[i : i + n] for u in t for n in (4, 5) for i in range(len(u) - n + 1)})
-        return seen
+    def stretches(text: set[str]) -> set[str]:
+        return {u[i : i + n] for u in text for n in (4, 5) for i in range(len(u) - n + 1)}
 
-    bad, good = counted(toxic), counted(clean)
-    return {s: np.log((n + 0.05) / (len(toxic) + 1)) - np.log((good[s] + 0.5) / (len(clean) + 1)) + np.log(n) for s, n in bad.items() if n > 1}
+    bad: Counter = Counter()
+    for t in toxic:
+        bad.update(stretches(t))
+    bad = Counter({s: n for s, n in bad.items() if n > 1})
+    good: Counter = Counter()
+    for t in clean:
+        good.update(stretches(t) & bad.keys())
+    return {s: np.log((n + 0.05) / (len(toxic) + 1)) - np.log((good[s] + 0.5) / (len(clean) + 1)) + np.log(n) for s, n in bad.items()}
 
 
-def fit(toxic: list[list[str]], clean: list[list[str]], clean_weight: float = 1.0, rounds: int = 3, seed: int = 3) -> Machine | None:
+def fit(toxic: Iterable[list[str]], clean: Iterable[list[str]], clean_weight: float = 1.0, rounds: int = 3, seed: int = 3) -> Machine | None:
     """Trains on the units of toxic and of clean texts."""
     rng = np.random.default_rng(seed)
-    bad, good = [set(t) for t in toxic if t], [set(t) for t in clean if t]
+    same: dict[str, str] = {}  # one string object for each unit, however many texts hold it
+    bad, good = ([{same.setdefault(u, u) for u in t} for t in texts if t] for texts in (toxic, clean))
     in_clean = Counter(u for t in good for u in t)
     pool, own = sorted(in_clean), sorted(set().union(*bad))
     guess = _first_guess(bad, good)
     value = {u: max((guess.get(u[i : i + n], -9.0) for n in (4, 5) for i in range(len(u) - n + 1)), default=-9.0) for u in own}
+    del guess
     ratio = len(bad) / len(good) if good else 1.0
     sample = [pool[i] for i in rng.choice(len(pool), min(len(pool), 12_000), replace=False)]
     common = [u for u, _ in in_clean.most_common(2_000)]
@@ -304,11 +309,11 @@ def train(texts: DataFrame, labels: DataFrame) -> Machine | None:
             yield pd.DataFrame({"toxic": batch.toxic, "units": [" ".join(sorted(set(units(t)))) for t in batch.text]})
 
     rows = texts.join(F.broadcast(drawn), "id").select("id", "text", "toxic").mapInPandas(run, "toxic int, units string").toPandas().sort_values(["toxic", "units"])
-    parts = {t: [u.split(" ") if u else [] for u in rows.units[rows.toxic == t]] for t in (0, 1)}
-    if not any(parts[1]) or not any(parts[0]):
+    bad, good = ([u for u in rows.units[rows.toxic == t] if u] for t in (1, 0))
+    if not bad or not good:
         return None
-    share = sizes[0] / sizes[1] * len(parts[1]) / len(parts[0])
-    return fit(parts[1], parts[0], clean_weight=share)
+    share = sizes[0] / sizes[1] * len(bad) / len(good)
+    return fit((u.split(" ") for u in bad), (u.split(" ") for u in good), clean_weight=share)
 
 
 def score(docs: DataFrame, machine: Machine | None, column: str = "text") -> DataFrame:
