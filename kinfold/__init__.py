@@ -1,0 +1 @@
+"""Entity resolution over business records, as Spark DataFrame operations."""
