@@ -46,7 +46,7 @@ def lexicon(docs: DataFrame, column: str = "text") -> list[int]:
 
 
 def kept_terms(slots: Column, bitmap: list[int]) -> Column:
-    bits = F.lit(bitmap)
+    bits = F.lit(bitmap).cast("array<bigint>")
     return F.filter(slots, lambda t: F.getbit(F.get(bits, F.shiftright(t, 6)), t.bitwiseAND(F.lit(63))) == 1)
 
 
@@ -127,8 +127,10 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - cut), F.substring(following, F.lit(1), cut))
 
 
-def op7_imatch(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text_or_empty("text").alias("text"))
+def compared(docs: DataFrame) -> DataFrame:
+    """For each document of (doc_id, text): n_chars, the edited text, the fingerprints of both, and the
+    likeness of its own to the edited text's and to the next document's."""
+    docs = docs.select("doc_id", text_or_empty("text").alias("text"))
     bitmap = lexicon(docs)
     rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.struct("text", fingerprint(F.col("text"), bitmap).alias("print")).alias("own"))
     rows = with_next(rows, "doc_id", "tie", "own")
@@ -137,9 +139,14 @@ def op7_imatch(spark, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id",
         F.char_length("own.text").cast("long").alias("n_chars"),
-        F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
+        "edited",
         as_string(F.col("own.print")).alias("fingerprint"),
         as_string(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("own.print"), F.col("edited_print")).alias("near_edited"),
         likeness(F.col("own.print"), F.col("next_print")).alias("near_next"),
     )
+
+
+def op7_imatch(spark, sf_dir: str) -> DataFrame:
+    found = compared(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.withColumn("edited_sha256", F.sha2(F.encode("edited", "utf-8"), 256)).drop("edited")

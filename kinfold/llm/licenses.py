@@ -87,7 +87,7 @@ def library(spark, templates: dict[str, str]) -> list[dict]:
 def scan(docs: DataFrame, templates: dict[str, str], column: str = "text", least: float = 0.8, matches: str = "matches") -> DataFrame:
     """``docs`` with ``matches``: array of struct (template, containment, first_word)."""
     known = library(docs.sparkSession, templates)
-    table = F.array(*[F.struct(F.lit(t["name"]).alias("name"), F.lit(t["keys"]).alias("keys"), F.lit(t["shingles"]).alias("shingles")) for t in known])
+    table = F.array(*[F.struct(F.lit(t["name"]).alias("name"), F.lit(t["keys"]).cast("array<bigint>").alias("keys"), F.lit(t["shingles"]).cast("array<bigint>").alias("shingles")) for t in known])
     any_long = F.lit(sorted({k for t in known if not t["short"] for k in t["keys"]}) or [0])
     any_short = F.lit(sorted({k for t in known if t["short"] for k in t["keys"]}) or [0])
 

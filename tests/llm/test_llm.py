@@ -343,6 +343,18 @@ def test_imatch_against_brute_force(spark):
     assert mean("near_edited") > 5 * mean("near_next")
 
 
+def test_imatch_awkward(spark, awkward, empty):
+    got = imatch.compared(awkward).collect()
+    assert len(got) == len(AWKWARD) and all(r.near_edited is not None and r.near_next is not None for r in got)
+    texts = {}
+    for r in got:
+        texts.setdefault(r.fingerprint, set()).add(r.n_chars)
+    assert {r.fingerprint for r in got if r.doc_id in (7, 8)} == {next(r.fingerprint for r in got if r.doc_id == 7)}
+    assert imatch.compared(empty).count() == 0
+    single = imatch.compared(awkward.where("doc_id = 7")).first()
+    assert (single.edited, single.near_next) == ("a b c d ea b ", 1.0)
+
+
 def test_next_row(spark):
     ids = [5, 3, None, 9, 9, 1, 7, None]
     df = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "doc_id long, tie long")
