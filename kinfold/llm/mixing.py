@@ -3,7 +3,7 @@
 Every source is cut into a fixed number of hash blocks: a row's 64-bit hash says which block it is
 in and where in the block it stands, so blocks are disjoint random sets of whole documents and need
 no sort.  A source's target in words becomes a quota: so many whole blocks, and one block taken
-up to a hash.  The tree splits the vector of block quotas among the output shards: at each node
+up to a hash; one row a source is then taken once more or less to come closer still.  The tree splits the vector of block quotas among the output shards: at each node
 the left half gets a multivariate-hypergeometric draw of what the node holds, exactly as if all
 blocks had been shuffled together, but from counts alone.  Leaves take disjoint runs of each
 source's permuted blocks; inside a shard, rows are ordered by a second hash.
@@ -146,14 +146,31 @@ def mix_plan(rows: DataFrame, weights: list[int], share: float, most: int, shard
         .join(splitting_tree(quotas, shards, seed), "rank", "left")
     )
     plan = written(of_source)
-    joined = rows.alias("r").join(plan.alias("s"), F.expr("r.source <=> s.source"), "left").select("r.*", "s.source_size", "s.target", "s.passes", "s.n_blocks", "s.ends", "s.rank")
-    taken = F.filter("passes", lambda p: (F.col("block") < p.cut_block) | ((F.col("block") == p.cut_block) & (F.col("hash") <= p.last_hash)))
+    planned = rows.alias("r").join(plan.alias("s"), F.expr("r.source <=> s.source"), "left").select("r.*", "s.source_size", "s.target", "s.passes", "s.n_blocks", "s.ends", "s.rank")
+    planned = planned.withColumn("taken", F.filter("passes", lambda p: (F.col("block") < p.cut_block) | ((F.col("block") == p.cut_block) & (F.col("hash") <= p.last_hash))))
+    change = one_change(planned.select("source", "target", "hash", "size", F.size("taken").alias("copies")), most)
+    joined = planned.alias("p").join(change.alias("c"), F.expr("p.source <=> c.source"), "left").select("p.*", F.when(F.col("p.hash") == F.col("c.hash"), F.col("c.sign")).otherwise(0).alias("sign"))
+    passes_taken = F.when(F.col("sign") < 0, F.slice("taken", 1, F.greatest(F.size("taken") - 1, F.lit(0)))).when(F.col("sign") > 0, F.slice("passes", 1, F.size("taken") + 1)).otherwise(F.col("taken"))
 
     def shard(p: Column) -> Column:
         slot = F.pmod((p["pass"] * F.lit(blocks) + F.col("block")) * F.lit(STRIDE) + F.col("rank") * F.lit(7919), F.col("n_blocks"))
         return F.size(F.filter("ends", lambda e: e <= slot))
 
-    return joined.withColumn("shards", F.transform(taken, shard)).withColumn("copies", F.size("shards")).drop("passes", "n_blocks", "ends", "rank", "block")
+    return joined.withColumn("shards", F.transform(passes_taken, shard)).withColumn("copies", F.size("shards")).drop("passes", "taken", "sign", "n_blocks", "ends", "rank", "block")
+
+
+def one_change(planned: DataFrame, most: int) -> DataFrame:
+    """(source, hash, sign): for each source the one row to take once more or less that brings its sum
+    nearest to the target, if any does.  Of all rows one is left a source, so this is a minimum."""
+    got = planned.groupBy("source", "target").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
+    need = written(got.select("source", (F.col("target") - F.col("got")).alias("need")))
+    alike = planned.groupBy("source", "hash", "copies").agg(F.sum("size").alias("size")).where("size > 0")
+    each = alike.alias("a").join(need.alias("n"), F.expr("a.source <=> n.source")).select("a.source", "a.hash", "a.copies", "a.size", "n.need")
+    sign = F.when((F.col("need") > 0) & (F.col("copies") < most), 1).when((F.col("need") < 0) & (F.col("copies") > 0), -1)
+    left = F.abs(F.col("need") - F.col("sign") * F.col("size"))
+    better = each.withColumn("sign", sign).withColumn("left", left).where(F.col("left") < F.abs("need"))
+    best = better.groupBy("source").agg(F.min(F.struct("left", "hash", "sign")).alias("best"))
+    return written(best.select("source", "best.hash", "best.sign"))
 
 
 def row_hash(seed: int, *columns: Column) -> Column:
