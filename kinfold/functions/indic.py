@@ -19,7 +19,7 @@ CONSONANTS = dict(zip(range(0x15, 0x3A), "k kh g gh ṅ c ch j jh ñ ṭ ṭh 
 SIGNS = dict(zip([*range(0x3E, 0x45), *range(0x46, 0x4D)], "ā i ī u ū r̥ r̥̄ e ē ai ô o ō au".split(), strict=True))
 OTHERS = {0x01: "m̐", 0x02: "ṁ", 0x03: "ḥ", 0x3C: "", 0x3D: "'"} | {0x66 + d: str(d) for d in range(10)}
 SILENCER = 0x4D
-_RUN = re.compile("[ऀ-ൿ]+")
+_RUN = re.compile("[\u0900-\u0d7f]+")
 
 
 def _latin(run: re.Match) -> str:
@@ -52,5 +52,5 @@ def transliterated(c: Column) -> Column:
         for batch in batches:
             yield batch.map(lambda t: None if t is None else transliterate(t))
 
-    indic = F.rlike(c, F.lit(r"[ऀ-ൿ]"))
+    indic = F.rlike(c, F.lit(r"[\u0900-\u0d7f]"))
     return F.coalesce(run(F.when(indic, c)), c)

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The white space that separates words, word characters, and the marks cut off ends.
-SPACE = r"[\t-\r\x1c-\x20\x85   -     　]"
+SPACE = r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 LEFT, RIGHT = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 EDGES = " ,;|"
 
@@ -47,7 +47,7 @@ ABBREVIATIONS = [
 ]
 LANDMARKS = ["near", "opposite", "behind", "adjacent"]
 
-_INDIC = r"[ऀ-ൿ&&\p{L}]"
+_INDIC = r"[\u0900-\u0d7f&&\p{L}]"
 
 
 def _replace(c: Column, pattern: str, by: str) -> Column:
@@ -159,8 +159,8 @@ def respelt(c: Column, rules: Column | None) -> Column:
     return F.array_join(F.transform(F.filter(F.split(c, " "), lambda w: w != ""), lambda w: F.coalesce(F.try_element_at(rules, w), w)), " ")
 
 
-def views(raw: Column, field: str, rules: Column | None = None) -> list[Column]:
-    """The views of a field from its transliterated form on need ``transliterated``; see records."""
+def first_views(raw: Column, field: str) -> list[Column]:
+    """A field as it came, in NFKC, and cleaned; all other views follow from the cleaned one."""
     uni = unicode_view(F.coalesce(raw, F.lit("")))
     cleaned = clean_name(uni) if field == "name" else clean_address(uni)
     return [F.coalesce(raw, F.lit("")).alias("raw"), uni.alias("unicode"), cleaned.alias("cleaned")]

@@ -43,7 +43,7 @@ def normalise(rows: DataFrame, source: int, rules: dict[str, str] | None = None)
     table = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair]) if rules else None
     plain = rows.select(
         "rid", F.col("entity_id").alias("eid"), F.lit(source).alias("source"), T.conservative(T.missing_clean(F.col("country"))).alias("country"),
-        *[c.alias(f"{f}_{n}") for f in ("name", "address") for c, n in zip(T.views(F.col(f"business_{f}"), f), ("raw", "uni", "cleaned"), strict=True)],
+        *[c.alias(f"{f}_{n}") for f in ("name", "address") for c, n in zip(T.first_views(F.col(f"business_{f}"), f), ("raw", "uni", "cleaned"), strict=True)],
     )
     plain = plain.withColumns({f"{f}_latin": transliterated(F.col(f"{f}_cleaned")) for f in ("name", "address")})
     parts = [_field(*[F.col(f"{f}_{n}") for n in ("cleaned", "latin", "raw", "uni")], f, table).alias(f) for f in ("name", "address")]

@@ -78,10 +78,6 @@ def by_name(view: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def joined(*columns):
-    return [F.array_join(c, ",") for c in columns]
-
-
 def _core_legal(n, a):
     core, legal = T.core_and_legal(T.conservative(T.clean_name(n)))
     return [core.alias("core"), legal.alias("legal")]
