@@ -19,9 +19,8 @@ from kinfold.llm.shared import shared_dir
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Scores every document by the machine trained on the table's labels; predicted 1 goes."""
-    names = docs.columns
-    inner = docs.select(F.struct(*[f"`{c}`" for c in names]).alias("row"), F.col("text").alias("text"))
-    return toxicity.score(inner, toxicity.machine_from(spark, sf_dir)).where("predicted = 0").select("row.*")
+    score = toxicity.probability_of(spark, toxicity.machine_from(spark, sf_dir), F.col("text"))
+    return docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), score.alias("score")).where("score < 0.5").select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 #: Bounds of a worker's tables; a full table is emptied and filled anew, results don't depend on it.
 MAX_PIECES, MAX_PAIRS = 250_000, 400_000
 #: Characters of text encoded at once, and of the longest piece that is kept.
-TEXTS_AT_ONCE, LONG_PIECE = 4_000_000, 200
+TEXTS_AT_ONCE, LONG_PIECE = 2_000_000, 200
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -259,6 +259,7 @@ def _mapped(df: DataFrame, path: str, pattern: str, column: str, add: list[pa.Fi
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, f.type) for v, f in zip(new, add, strict=True)] + [batch.column(batch.schema.get_field_index(c)) for c in kept], [f.name for f in add] + kept
             )
+        tokenizer.young, tokenizer.old = {}, {}  # the worker lives on for other tasks
 
     types = {f.name: f.dataType.simpleString() for f in df.schema}
     return df.mapInArrow(run, ", ".join([ddl, *(f"`{c}` {types[c]}" for c in kept)]))
