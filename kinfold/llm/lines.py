@@ -62,10 +62,14 @@ class LineRuns:
     def add(self, batch: DataFrame) -> None:
         """``batch`` has a column ``keys``, one array of line hashes a document."""
         lines = batch.select(F.explode(F.array_distinct("keys")).alias("k")).where("k is not null").select("k.k1", "k.k2")
-        own = lines.groupBy(*KEY).agg(F.count("*").alias("n"))  # first, so that a common line is one row a task
-        for run in self.known:
-            own = own.join(run.hint("merge"), KEY, "left_anti")
-        self._add_run(0, self._run(own))
+        # counted and written before the anti-join, which would otherwise go below the count and meet a
+        # common line once for each document
+        run = self._run(lines.groupBy(*KEY).agg(F.count("*").alias("n")))
+        for known in self.known:
+            rest = self._run(run.join(known.hint("merge"), KEY, "left_anti"))
+            remove(run)
+            run = rest
+        self._add_run(0, run)
 
     def _add_run(self, level: int, run: DataFrame) -> None:
         if level == len(self.levels):
