@@ -37,6 +37,8 @@ BLOCK = 2_048
 #: Rows a cell holds on average; so the grid grows with the table.
 CELL_ROWS = 800
 BINS, BIN = 800, 0.005
+#: How far past the fitted bound a query goes on: neighbours that the sample doesn't show.
+SLACK = 1.15
 
 
 def kmeans(points: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray:
@@ -156,12 +158,12 @@ def fit_index(nodes: DataFrame, dim: int, n: int, least: float, recall: float) -
     for b in sorted(met):
         running += met[b]
         if running >= recall * total:
-            index.bound = (b + 1) * BIN
+            index.bound = (b + 1) * BIN * SLACK
             break
     return index
 
 
-def near_duplicates(df: DataFrame, id_column: str = "vec_id", column: str = "embedding", least: float = 0.95, recall: float = 0.9995) -> DataFrame:
+def near_duplicates(df: DataFrame, id_column: str = "vec_id", column: str = "embedding", least: float = 0.95, recall: float = 1.0) -> DataFrame:
     """One row a vector: the id, n_links, component_id and kept."""
     vector = F.col(column)
     rows = written(df.select(F.col(id_column).alias("id"), F.when(usable(vector), F.xxhash64(vector)).alias("node"), F.size(vector).alias("dim"), F.transform(vector, lambda x: x.cast("double")).alias("v")))
