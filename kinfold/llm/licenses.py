@@ -122,7 +122,7 @@ def _sql() -> str:
 WITH t AS (SELECT name, list_distinct({grams}) AS s FROM (SELECT name, {words} AS w FROM (VALUES {values}) v(name, text))),
 d AS (SELECT doc_id, {grams} AS g FROM (SELECT doc_id, {words} AS w FROM documents)),
 m AS (SELECT doc_id, name, g, s, list_filter(s, lambda x: list_contains(g, x)) AS shared FROM d, t)
-SELECT doc_id, name AS template, len(shared) / len(s) AS containment, list_min(list_transform(shared, lambda x: list_position(g, x))) AS first_word
+SELECT doc_id, name AS template, len(shared) / len(s) AS containment, list_min(list_transform(shared, lambda x: list_position(g, x)))::BIGINT AS first_word
 FROM m WHERE len(shared) >= 0.8 * len(s)
 """
 
