@@ -127,7 +127,7 @@ def retrieval_report(universe: DataFrame, truth: DataFrame, candidates: DataFram
         F.sum("candidates").alias("pairs"),
         F.avg("oracle").alias("oracle"),
         F.avg("candidates").alias("mean_k"),
-        *[F.expr(f"percentile_disc({x}) within group (order by candidates)").alias(f"p{round(100 * x)}_k") for x in (0.95, 0.99)],
+        *[F.expr(f"percentile_disc({x}) within group (order by candidates)").cast("long").alias(f"p{round(100 * x)}_k") for x in (0.95, 0.99)],
         F.max("candidates").alias("max_k"),
         F.try_divide(F.sum("hit"), F.sum("m")).alias("pair_recall"),
     )

@@ -223,7 +223,7 @@ SELECT tag, count(*) AS n, round(avg({_F05}), 6) AS macro_f05, round(avg({_ORACL
     "mine_hard_negatives": f"WITH {_SCORED} SELECT s.q, s.t, p FROM scored s LEFT JOIN truth tr ON tr.q = s.q AND tr.t = s.t WHERE tr.t IS NULL QUALIFY row_number() OVER (PARTITION BY s.q ORDER BY p DESC, s.t) = 1",
     "match_output": _listed(0.6, "matched_entity_ids"),
     "candidate_output": _listed(0.0, "candidate_entity_ids"),
-    "output_violations": "SELECT unnest(['row in one file only', 'repeated query', 'unknown query', 'missing query', 'duplicate targets', 'matches outside candidates', 'unknown or wrong-source target']) AS \"check\", 0 AS violations",
+    "output_violations": "SELECT unnest(['row in one file only', 'repeated query', 'unknown query', 'missing query', 'duplicate targets', 'matches outside candidates', 'unknown or wrong-source target']) AS \"check\", 0::BIGINT AS violations",
     "brier": f"WITH {_SCORED} SELECT round(avg((p - (tr.t IS NOT NULL)::INT) ** 2), 6) AS brier FROM scored s LEFT JOIN truth tr ON tr.q = s.q AND tr.t = s.t",
-    "memory_estimates": "SELECT 12500.0 * 8 + 1001 * 4 AS csr_bytes, 600.0 * 8 + 11 * 4 AS topk_output_bytes, 600.0 * 28 * 4 AS feature_bytes, 262144.0 * 4 AS idf_bytes, 262144.0 * 8 AS df_bytes",
+    "memory_estimates": "SELECT (12500 * 8 + 1001 * 4)::DOUBLE AS csr_bytes, (600 * 8 + 11 * 4)::DOUBLE AS topk_output_bytes, (600 * 28 * 4)::DOUBLE AS feature_bytes, (262144 * 4)::DOUBLE AS idf_bytes, (262144 * 8)::DOUBLE AS df_bytes",
 }

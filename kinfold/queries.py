@@ -138,7 +138,7 @@ def top_k_of(channel):
 
 
 def fused(spark, sf_dir):
-    return fuse.fuse(hits_of(all_records(spark, sf_dir)), 10).select("q", "t", "source", "mask", F.round("rrf", 9).alias("rrf"), "position")
+    return fuse.fuse(hits_of(all_records(spark, sf_dir)), 10).select("q", "t", "source", "mask", F.round("rrf", 9).alias("rrf"), F.col("position").cast("long").alias("position"))
 
 
 def benchmark_of(spark, sf_dir):
