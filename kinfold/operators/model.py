@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,6 +70,15 @@ class Calibrator:
         new = F.get(vector_to_array("probability"), 1) if self.kind == "platt" else F.col("prediction")
         return done.select(*[c for c in rows.columns if c != "p"], F.least(F.greatest(new, F.lit(0.0)), F.lit(1.0)).alias("p"))
 
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/{self.kind}")
+
+    @classmethod
+    def load(cls, path: str, kind: str) -> Calibrator:
+        made = cls(kind)
+        made.model = (LogisticRegressionModel if kind == "platt" else IsotonicRegressionModel).load(f"{path}/{kind}")
+        return made
+
 
 def brier(rows: DataFrame) -> Column:
     return F.avg((F.col("p") - F.col("y")) ** 2)

@@ -10,6 +10,7 @@ import json
 import os
 
 import pyspark
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +75,7 @@ def core_run(spark: SparkSession, train: str, test: str, work: str, out: str, ki
         "rules": rules, "k": k, "kinds": list(kinds), "country_verified": verified, "dependencies": dependencies(),
     }
     model.write().overwrite().save(f"file://{os.path.abspath(work)}/model")
+    calibrator.save(f"file://{os.path.abspath(work)}/calibrator")
     table.write.mode("overwrite").parquet(f"file://{os.path.abspath(work)}/feature_idf.parquet")
     with open(f"{work}/report.json", "w") as f:
         json.dump(report, f, indent=2)
@@ -89,12 +91,25 @@ def infer(spark, records, table, model, calibrator, tau, out, kinds, k=60, verif
     validate_outputs(spark, records, f"file://{os.path.abspath(out)}")
 
 
+def infer_from(spark: SparkSession, work: str, test: str, out: str) -> None:
+    """Matches the test sources with what a training run left in ``work``."""
+    with open(f"{work}/report.json") as f:
+        report = json.load(f)
+    base = f"file://{os.path.abspath(work)}"
+    records, calibrator = read_records(spark, test, "test", report["rules"]), M.Calibrator.load(f"{base}/calibrator", report["calibrator"])
+    table, model = spark.read.parquet(f"{base}/feature_idf.parquet"), PipelineModel.load(f"{base}/model")
+    infer(spark, records, table, model, calibrator, report["threshold"], out, tuple(report["kinds"]), report["k"], report["country_verified"])
+
+
 def main() -> None:
     parser = argparse.ArgumentParser()
-    for name in ("train", "test", "work", "output"):
+    parser.add_argument("--train", help="left out: match with what an earlier run left in --work")
+    for name in ("test", "work", "output"):
         parser.add_argument(f"--{name}", required=True)
     args = parser.parse_args()
     spark = SparkSession.builder.getOrCreate()
+    if not args.train:
+        return infer_from(spark, args.work, args.test, args.output)
     print(json.dumps(core_run(spark, args.train, args.test, args.work, args.output), indent=2))
 
 

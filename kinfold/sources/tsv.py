@@ -93,3 +93,12 @@ def write_pairs(rows: DataFrame, path: str, cap: int = 1_500_000) -> int:
         raise MemoryError(f"{n} pairs exceed the cap of {cap}")
     rows.write.option("compression", "zstd").mode("overwrite").parquet(path)
     return n
+
+
+def read_pairs(spark: SparkSession, path: str, cap: int = 1_500_000) -> DataFrame:
+    """A pair table that ``write_pairs`` wrote; raises if it has more rows than ``cap``."""
+    rows = spark.read.parquet(path)
+    n = rows.count()
+    if n > cap:
+        raise MemoryError(f"{n} pairs exceed the cap of {cap}")
+    return rows

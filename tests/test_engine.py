@@ -13,7 +13,7 @@ from kinfold.functions import indic, terms
 from kinfold.functions import similarity as S
 from kinfold.functions import text as T
 from kinfold.operators import features, fuse, graph, index, metrics, model, records, retrieve, spelling
-from kinfold.plans.run import core_run
+from kinfold.plans.run import core_run, infer_from
 from kinfold.sources import tsv
 from kinfold.streaming import arriving_records
 
@@ -187,6 +187,15 @@ def test_retrieval_finds_the_truth(spark, sample):
     assert first.groupBy("q").count().agg(F.max("count")).first()[0] <= 40
 
 
+def test_saved_index(spark, sample, tmp_path):
+    recs = sample[0].where("cast(substring(eid, 4) as int) < 30")
+    made = index.Index(recs, ("rare", "char"))
+    made.save(f"file://{tmp_path}/index")
+    again = index.Index.load(spark, f"file://{tmp_path}/index")
+    best = lambda i: sorted(map(str, index.top_k(recs.where("source = 1"), i, {"rare": 5, "char": 5}).select("q", "t", "source", "channel", "score").collect()))
+    assert best(made) == best(again)
+
+
 def test_routes(spark):
     queries = spark.createDataFrame([(1, "france"), (2, ""), (3, "peru")], "rid long, country string")
     parts = spark.createDataFrame([("france",), ("india",), ("",)], "country string")
@@ -358,6 +367,9 @@ def test_outputs_and_their_checks(spark, sample, tmp_path):
     assert found == {"row in one file only": 1, "repeated query": 0, "unknown query": 0, "missing query": 1, "duplicate targets": 1, "matches outside candidates": 0, "unknown or wrong-source target": 1}
     with pytest.raises(MemoryError):
         tsv.write_pairs(scored, f"file://{tmp_path}/pairs.parquet", 2)
+    assert tsv.write_pairs(scored, f"file://{tmp_path}/pairs.parquet") == tsv.read_pairs(spark, f"file://{tmp_path}/pairs.parquet").count() == 3
+    with pytest.raises(MemoryError):
+        tsv.read_pairs(spark, f"file://{tmp_path}/pairs.parquet", 2)
 
 
 def test_arriving_records(spark, tmp_path):
@@ -375,3 +387,7 @@ def test_whole_run(spark, tmp_path):
     assert report["final"]["all"]["oracle"] == 1 and report["final"]["all"]["macro_f05"] > 0.5
     with open(f"{tmp_path}/out/candidate_pairs.tsv") as f:
         assert len(f.read().strip().split("\n")) == 13
+    infer_from(spark, f"{tmp_path}/work", test, f"{tmp_path}/again")
+    for name in ("candidate_pairs.tsv", "matching_results.tsv"):
+        with open(f"{tmp_path}/out/{name}") as a, open(f"{tmp_path}/again/{name}") as b:
+            assert a.read() == b.read()
