@@ -157,10 +157,3 @@ def respelt(c: Column, rules: Column | None) -> Column:
     if rules is None:
         return c
     return F.array_join(F.transform(F.filter(F.split(c, " "), lambda w: w != ""), lambda w: F.coalesce(F.try_element_at(rules, w), w)), " ")
-
-
-def first_views(raw: Column, field: str) -> list[Column]:
-    """A field as it came, in NFKC, and cleaned; all other views follow from the cleaned one."""
-    uni = unicode_view(F.coalesce(raw, F.lit("")))
-    cleaned = clean_name(uni) if field == "name" else clean_address(uni)
-    return [F.coalesce(raw, F.lit("")).alias("raw"), uni.alias("unicode"), cleaned.alias("cleaned")]

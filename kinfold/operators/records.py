@@ -26,28 +26,35 @@ def number(rows: DataFrame, source: int) -> DataFrame:
     return rows.withColumn("rid", F.lit(source * SOURCE_STEP) + F.monotonically_increasing_id())
 
 
-def _field(cleaned: Column, latin: Column, raw: Column, uni: Column, field: str, rules: Column | None) -> Column:
-    cons = F.array_join(T.tokens(T.unicode_view(cleaned)), " ")
-    translit = F.array_join(T.tokens(T.unicode_view(latin)), " ")
-    roman = T.fold_accents(translit)
-    corrected = T.respelt(roman, rules if field == "name" else None)
-    core, legal = T.core_and_legal(corrected) if field == "name" else (corrected, F.lit(""))
-    return F.struct(
-        raw.alias("raw"), uni.alias("unicode"), cons.alias("conservative"), translit.alias("transliterated"), T.fold_accents(cons).alias("accent_folded"),
-        roman.alias("roman"), corrected.alias("corrected"), core.alias("core"), legal.alias("legal"), (cons != "").alias("has"), T.script_profile(uni).alias("script"),
-    )
-
-
 def normalise(rows: DataFrame, source: int, rules: dict[str, str] | None = None) -> DataFrame:
-    """Records of rows (rid, entity_id, business_name, business_address, country)."""
+    """Records of rows (rid, entity_id, business_name, business_address, country).
+
+    One step a projection: a step reads its text more than once, so nested steps would multiply.
+    """
     table = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair]) if rules else None
-    plain = rows.select(
-        "rid", F.col("entity_id").alias("eid"), F.lit(source).alias("source"), T.conservative(T.missing_clean(F.col("country"))).alias("country"),
-        *[c.alias(f"{f}_{n}") for f in ("name", "address") for c, n in zip(T.first_views(F.col(f"business_{f}"), f), ("raw", "uni", "cleaned"), strict=True)],
+    fields = ("name", "address")
+    both = lambda new, made: {f"{f}_{new}": made(f) for f in fields}
+    col = lambda f, view: F.col(f"{f}_{view}")
+    words = lambda f, view: F.array_join(T.tokens(col(f, view)), " ")
+    steps = rows.select(
+        "rid", F.col("entity_id").alias("eid"), F.lit(source).alias("source"), T.unicode_view(T.missing_clean(F.col("country"))).alias("land"),
+        *[F.coalesce(F.col(f"business_{f}"), F.lit("")).alias(f"{f}_raw") for f in fields],
     )
-    plain = plain.withColumns({f"{f}_latin": transliterated(F.col(f"{f}_cleaned")) for f in ("name", "address")})
-    parts = [_field(*[F.col(f"{f}_{n}") for n in ("cleaned", "latin", "raw", "uni")], f, table).alias(f) for f in ("name", "address")]
-    made = plain.select("rid", "eid", "source", "country", *parts)
+    steps = steps.withColumns({"country": F.array_join(T.tokens(F.col("land")), " "), **both("uni", lambda f: T.unicode_view(col(f, "raw")))})
+    steps = steps.withColumns(both("cleaned", lambda f: T.clean_name(col(f, "uni")) if f == "name" else T.clean_address(col(f, "uni"))))
+    steps = steps.withColumns(both("latin", lambda f: transliterated(col(f, "cleaned"))))
+    steps = steps.withColumns({**both("cleaned", lambda f: T.unicode_view(col(f, "cleaned"))), **both("latin", lambda f: T.unicode_view(col(f, "latin")))})
+    steps = steps.withColumns({**both("cons", lambda f: words(f, "cleaned")), **both("translit", lambda f: words(f, "latin"))})
+    steps = steps.withColumns({**both("folded", lambda f: T.fold_accents(col(f, "cons"))), **both("roman", lambda f: T.fold_accents(col(f, "translit")))})
+    steps = steps.withColumns(both("corrected", lambda f: T.respelt(col(f, "roman"), table if f == "name" else None)))
+    core, legal = T.core_and_legal(F.col("name_corrected"))
+    steps = steps.withColumns({"name_core": core, "name_legal": legal, "address_core": F.col("address_corrected"), "address_legal": F.lit("")})
+
+    def field(f: str) -> Column:
+        views = {"raw": "raw", "uni": "unicode", "cons": "conservative", "translit": "transliterated", "folded": "accent_folded", "roman": "roman", "corrected": "corrected", "core": "core", "legal": "legal"}
+        return F.struct(*[col(f, v).alias(n) for v, n in views.items()], (col(f, "cons") != "").alias("has"), T.script_profile(col(f, "uni")).alias("script")).alias(f)
+
+    made = steps.select("rid", "eid", "source", "country", *[field(f) for f in fields])
     return made.select("rid", "eid", "source", "country", F.col("name.core").alias("name_key"), (~F.col("address.has")).cast("int").alias("missing"), "name", "address")
 
 
