@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm import bpe, lines, mixing, setsketch, toxicity
-from kinfold.llm.shared import shared_dir
+from kinfold.llm.shared import BLANKS, shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,15 +25,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines whose key at least 10 of the documents hold go from all of them.  ``n_chars`` follows
-    the text; a document that had text and has none left goes."""
+    the text.  A document that would have only blanks left keeps its text: such are the members of
+    groups of copies, of which the next stage keeps one.  No row goes."""
     names = docs.columns
     inner = docs.select(F.struct(*[f"`{c}`" for c in names]).alias("row"), F.col("text").alias("text"))
     done = lines.drop_frequent_lines(inner)
-    row = F.col("row").withField("text", F.col("text"))
+    cut = (F.col("n_dropped") > 0) & (F.btrim("text", F.lit(BLANKS)) != "")
+    row = F.col("row").withField("text", F.when(cut, F.col("text")).otherwise(F.col("row.text")))
     if "n_chars" in names:
-        row = row.withField("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars")))
-    emptied = (F.col("n_dropped") > 0) & (F.col("n_dropped") == F.col("n_lines"))
-    return done.where(~emptied).select(row.alias("row")).select("row.*")
+        row = row.withField("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars")))
+    return done.select(row.alias("row")).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

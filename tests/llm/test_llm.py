@@ -541,3 +541,13 @@ def test_stages_on_awkward_rows(spark, awkward, empty):
             after = stage(spark, rows, SMALL)
             assert name == "encode" or after.columns == rows.columns
             assert after.count() <= 2 * max(1, rows.count())
+
+
+def test_one_of_each_group_of_copies_stays(spark):
+    block = lambda name: "\n".join(f"{name} line {i} has some words of its own {i * 7}" for i in range(5))
+    texts = [block("plain")] * 12 + [block("blank") + "\n\n"] * 12 + ["a common line"] * 12 + [f"a common line\nrow {i} alone" for i in range(3)]
+    rows = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    after = corpus_pipeline.drop_repeated_lines(spark, rows, SMALL)
+    assert {r.doc_id: (r.text, r.n_chars) for r in after.collect()} == {i: (t, len(t)) for i, t in enumerate(texts[:36])} | {36 + i: (f"row {i} alone", 11) for i in range(3)}
+    kept = corpus_pipeline.drop_near_duplicates(spark, after, SMALL)
+    assert {r.doc_id for r in kept.collect()} == {0, 12, 24, 36, 37, 38}
