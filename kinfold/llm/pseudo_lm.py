@@ -11,9 +11,9 @@ class), the latter from the counts; a word outside the vocabulary belongs to the
 has one fixed probability there.
 
 Training is local: in each round every partition starts from the same weights, trains on one in
-EVERY of its tokens, all documents taking part, and the weights are averaged by tokens seen, in a
-tree, so no task holds those of more than FAN partitions.  What training reads and what it
-gathers grow with the input.
+ROUNDS of its tokens, all documents taking part, and the weights are averaged by tokens seen, in a
+tree, so no task holds those of more than FAN partitions.  The rounds' tokens are disjoint and
+together all of them.  What training reads and what it gathers grow with the input.
 
 Cases: a null, empty or blank text has no tokens, log-likelihood 0 and no mean; repeated rows count
 each; an empty table gives an empty table.
@@ -33,8 +33,8 @@ from kinfold.llm.shared import text_or_empty, written
 from kinfold.llm.shingles import word_hashes
 
 VOCABULARY, CLASSES, WIDTH, HIDDEN, SIDE = 16_384, 64, 16, 24, 2
-#: One in so many tokens is trained on in a round; rounds; step size; tokens a step.
-EVERY, ROUNDS, STEP, BATCH = 8, 2, 0.15, 2_048
+#: Rounds, each over its share of the tokens, so that all are trained on once; step size; tokens a step.
+ROUNDS, STEP, BATCH = 2, 0.15, 2_048
 #: Partitions whose weights one task averages.
 FAN = 64
 #: What a word outside the vocabulary costs in its class, in all.
@@ -216,13 +216,13 @@ def _result(n: int, flat: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat], pa.binary())], ["n", "weights"])
 
 
-def _chosen(network: Network, batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """One in EVERY of the tokens, from another start each turn, with their neighbours."""
+def _chosen(network: Network, batches: Iterator[pa.RecordBatch], turn: int = 0, turns: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """One in ``turns`` of the tokens, from another start each turn, with their neighbours."""
     seen = turn
     for batch in batches:
         for ids in _texts(network.lexicon, batch.column(0).cast(pa.binary()).to_pylist()):
             tokens, near = network.around(ids)
-            mine = slice(seen % EVERY, None, EVERY)
+            mine = slice(seen % turns, None, turns)
             seen += len(tokens)
             yield tokens[mine], near[mine]
 
@@ -233,7 +233,7 @@ def gather_company(docs: DataFrame, network: Network) -> np.ndarray | None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, seen = shared.value, 0
         total = np.zeros((len(net.lexicon.words), COMPANY), np.float32)
-        for tokens, near in _chosen(net, batches, 0):
+        for tokens, near in _chosen(net, batches):
             total += net.lexicon.company(tokens, near)
             seen += len(tokens)
         if seen:
@@ -250,7 +250,7 @@ def one_round(docs: DataFrame, network: Network, turn: int) -> list[np.ndarray]:
         net, seen = Network(shared.value.lexicon), 0
         net.weights = [w.copy() for w in shared.value.weights]
         squares = [np.full(w.shape, 0.02, np.float32) for w in net.weights]
-        for tokens, near in _chosen(net, batches, turn):
+        for tokens, near in _chosen(net, batches, turn, ROUNDS):
             net.train(tokens, near, squares)
             seen += len(tokens)
         if seen:

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -475,6 +476,16 @@ def test_pseudo_likelihood_learns(spark):
     assert by[1].log_likelihood == pytest.approx(by[1].per_token * by[1].n_tokens) and len(got) == len(odd)
 
 
+def test_every_token_is_trained_on_once():
+    texts = [" ".join(f"w{i * 50 + j}" for j in range(i % 7 * 9)) for i in range(60)]
+    words = np.unique(np.concatenate(list(shingles.word_hashes([t.encode() for t in texts]))))
+    net = pseudo_lm.Network(pseudo_lm.Lexicon(words, np.ones(len(words)), len(words)))
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at : at + 25])], ["text"]) for at in range(0, 60, 25)]
+    turn = lambda *a: [t for tokens, _ in pseudo_lm._chosen(net, iter(batches), *a) for t in tokens.tolist()]
+    assert sorted(turn()) == list(range(len(words)))
+    assert sorted(x for i in range(pseudo_lm.ROUNDS) for x in turn(i, pseudo_lm.ROUNDS)) == list(range(len(words)))
+
+
 def test_pseudo_likelihood_empty(spark, empty):
     assert pseudo_lm.score(empty, pseudo_lm.train(empty)).count() == 0
 
