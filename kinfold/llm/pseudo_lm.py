@@ -5,10 +5,11 @@ through a matrix for its place, meet in one hidden layer, which gives the probab
 token's class.  The summed log-probabilities of all tokens are a document's pseudo-log-likelihood.
 
 Tokens are words (as in ``shingles``), by a 64-bit hash.  Words are counted over all documents; the
-VOCABULARY most frequent ones are known, and form classes of equal weight in order of frequency, so
-the commonest have classes to themselves.  log p(word) = log p(class | both sides) + log p(word |
-class), the latter from the counts; a word outside the vocabulary belongs to the last class and
-has one fixed probability there.
+VOCABULARY most frequent ones have embeddings and classes of their own neighbourhoods; all others
+share one embedding and the last class.  log p(word) = log p(class | both sides) + log p(word |
+class), the latter from the counts of all words: the count table stays a Parquet table, which grows
+with the corpus, and the words outside the vocabulary are joined with it.  Only a word that was
+never counted has a fixed probability.
 
 Training is local: in each round every partition starts from the same weights, trains on one in
 ROUNDS of its tokens, all documents taking part, and the weights are averaged by tokens seen, in a
@@ -37,7 +38,7 @@ VOCABULARY, CLASSES, WIDTH, HIDDEN, SIDE = 16_384, 64, 16, 24, 2
 ROUNDS, STEP, BATCH = 2, 0.15, 2_048
 #: Partitions whose weights one task averages.
 FAN = 64
-#: What a word outside the vocabulary costs in its class, in all.
+#: What a word that was never counted costs in the last class, at least.
 UNSEEN = 20.0
 #: Dimensions of the neighbours' vectors.
 COMPANY = 32
@@ -70,9 +71,13 @@ class Lexicon:
         """Sets the classes of the known words; unknown ones have the last."""
         in_class = np.bincount(classes, self.counts, CLASSES)
         self.classes = np.r_[classes, CLASSES - 1]
-        self.inside = np.r_[np.log(self.counts) - np.log(in_class[classes]), -UNSEEN]
+        self.inside = np.r_[np.log(self.counts) - np.log(in_class[classes]), 0]  # others are joined in
         self.prior = (np.r_[in_class[:-1], max(0, self.total - self.counts.sum())] + 1) / (self.total + CLASSES)
 
+    def others(self) -> float:
+        """How many tokens are words outside the lexicon."""
+        return max(1.0, self.total - self.counts.sum())
+
     def directions(self) -> np.ndarray:
         """A random vector for each word, unknown and no word included."""
         return np.random.default_rng(4).normal(0, 1, (len(self.words) + 2, COMPANY)).astype(np.float32)
@@ -113,6 +118,7 @@ class Network:
         rng = np.random.default_rng(seed)
         n = len(lexicon.words) + 2
         self.lexicon = lexicon
+        self.counts: DataFrame | None = None
         self.weights = [
             rng.normal(0, 0.3, (n, WIDTH)).astype(np.float32),
             rng.normal(0, 0.3, (len(PLACES) * WIDTH, HIDDEN)).astype(np.float32),
@@ -121,6 +127,9 @@ class Network:
             np.log(lexicon.prior).astype(np.float32),
         ]
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"counts": None}  # a table stays on the driver
+
     def around(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of some texts, and for each the ids of its neighbours."""
         edge = np.full(SIDE, len(self.lexicon.words) + 1)
@@ -164,9 +173,10 @@ class Network:
             p[np.arange(n), target] -= 1
             p /= n
             back = (p @ out.T) * (1 - hidden**2)
-            own, place = np.unique(places, return_inverse=True)
-            slope = np.zeros((len(own), WIDTH), np.float32)
-            np.add.at(slope, place.ravel(), (back @ mix.T).reshape(-1, WIDTH))
+            flat = places.ravel()
+            order = np.argsort(flat, kind="stable")
+            own, first = np.unique(flat[order], return_index=True)
+            slope = np.add.reduceat((back @ mix.T).reshape(-1, WIDTH)[order], first, axis=0)
             steps = [x.T @ back, back.sum(0), hidden.T @ p, p.sum(0)]
             squares[0][own] += slope**2
             emb[own] -= STEP * slope / np.sqrt(squares[0][own] + 1e-8)
@@ -182,11 +192,11 @@ class Network:
         return [part.reshape(w.shape).copy() for part, w in zip(np.split(flat.astype(np.float32), cuts), self.weights, strict=True)]
 
 
-def _texts(lexicon: Lexicon, values: list[bytes], at_once: int = 200_000) -> Iterator[list[np.ndarray]]:
-    """The texts' ids, some texts at a time."""
+def _texts(values: list[bytes], at_once: int = 200_000) -> Iterator[list[np.ndarray]]:
+    """The texts' word hashes, some texts at a time."""
     group, size = [], 0
     for words in word_hashes(values):
-        group.append(lexicon.ids(words))
+        group.append(words)
         size += len(words)
         if size >= at_once:
             yield group
@@ -220,8 +230,8 @@ def _chosen(network: Network, batches: Iterator[pa.RecordBatch], turn: int = 0,
     """One in ``turns`` of the tokens, from another start each turn, with their neighbours."""
     seen = turn
     for batch in batches:
-        for ids in _texts(network.lexicon, batch.column(0).cast(pa.binary()).to_pylist()):
-            tokens, near = network.around(ids)
+        for words in _texts(batch.column(0).cast(pa.binary()).to_pylist()):
+            tokens, near = network.around([network.lexicon.ids(w) for w in words])
             mine = slice(seen % turns, None, turns)
             seen += len(tokens)
             yield tokens[mine], near[mine]
@@ -273,35 +283,50 @@ def train(docs: DataFrame, column: str = "text") -> Network:
     network = Network(lexicon)
     for turn in range(ROUNDS):
         network.weights = one_round(texts, network, turn)
+    network.counts = counts
     return network
 
 
-def score(docs: DataFrame, network: Network, column: str = "text") -> DataFrame:
-    """``docs`` with n_tokens, log_likelihood and per_token, its mean (null without tokens)."""
+def score(docs: DataFrame, network: Network, column: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``docs``, or its columns ``carry``, with n_tokens, log_likelihood and per_token, its mean (null
+    without tokens)."""
     added = ("n_tokens", "log_likelihood", "per_token")
-    kept = [c for c in docs.columns if c not in added]
-    docs = docs.select(*[f"`{c}`" for c in kept])
+    kept = [c for c in carry or docs.columns if c not in added]
+    docs = docs.select(*[f"`{c}`" for c in dict.fromkeys([*kept, column])])
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
-        tables = net.tables()
+        tables, known = net.tables(), len(net.lexicon.words)
         for batch in batches:
-            values = [t or b"" for t in batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()]
-            sizes, sums = [], []
-            for ids in _texts(net.lexicon, values):
+            values = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
+            sizes, sums, rare = [], [], []
+            for words in _texts(values):
+                ids = [net.lexicon.ids(w) for w in words]
                 tokens, near = net.around(ids)
                 running = np.r_[0.0, np.cumsum(net.log_probability(tokens, near, tables))]
                 ends = np.cumsum([len(i) for i in ids])
                 sizes += [len(i) for i in ids]
                 sums += (running[ends] - running[np.r_[0, ends[:-1]]]).tolist()
-            means = [s / n if n else None for s, n in zip(sums, sizes, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())], [*batch.schema.names, *added])
-
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{types}, n_tokens long, log_likelihood double, per_token double")
+                rare += [w[i == known].view(np.int64) for w, i in zip(words, ids, strict=True)]
+            ends = np.cumsum([0, *map(len, rare)])
+            others = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *rare])))
+            columns = [batch.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), others], [*kept, *added[:2], "__others"])
+
+    types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    found = docs.mapInArrow(run, f"{types}, n_tokens long, log_likelihood double, __others array<long>")
+    rows = written(found.select(F.struct(*[f"`{c}`" for c in kept]).alias("doc"), "n_tokens", "log_likelihood", F.col("__others").alias("others"), F.monotonically_increasing_id().alias("row")))
+    log_all = float(np.log(network.lexicon.others()))
+    inside = F.coalesce(F.log("n") - log_all, F.lit(-max(UNSEEN, log_all)))
+    words = rows.select("row", F.explode("others").alias("word"))
+    words = words.join(network.counts, "word", "left") if network.counts is not None else words.withColumn("n", F.lit(None).cast("long"))
+    costs = words.groupBy("row").agg(F.sum(inside).alias("inside"))
+    total = F.col("log_likelihood") + F.coalesce("inside", F.lit(0.0))
+    whole = rows.drop("others").join(costs, "row", "left").select("doc", "n_tokens", total.alias("log_likelihood"))
+    return whole.select("doc.*", "n_tokens", "log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("per_token"))
 
 
 def op9_pseudo_likelihood(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return score(docs, train(docs)).select("doc_id", "n_tokens", "log_likelihood", "per_token")
+    return score(docs, train(docs), carry=["doc_id"])

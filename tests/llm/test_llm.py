@@ -486,6 +486,16 @@ def test_every_token_is_trained_on_once():
     assert sorted(x for i in range(pseudo_lm.ROUNDS) for x in turn(i, pseudo_lm.ROUNDS)) == list(range(len(words)))
 
 
+def test_words_outside_the_vocabulary_cost_by_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_lm, "VOCABULARY", 4)
+    common = "a a a a a a a a b b b b b b b b c c c c c c c c d d d d d d d d "
+    df = spark.createDataFrame([(i, common + "often " * 5 + ("once" if i == 0 else "")) for i in range(10)], "doc_id long, text string").repartition(2)
+    net = pseudo_lm.train(df)
+    probe = spark.createDataFrame([(1, "often"), (2, "once"), (3, "never"), (4, "once often")], "doc_id long, text string")
+    got = {r.doc_id: r.log_likelihood for r in pseudo_lm.score(probe, net).collect()}
+    assert got[1] - got[2] == pytest.approx(np.log(50)) and got[2] - got[3] == pytest.approx(pseudo_lm.UNSEEN - np.log(51))
+
+
 def test_pseudo_likelihood_empty(spark, empty):
     assert pseudo_lm.score(empty, pseudo_lm.train(empty)).count() == 0
 
