@@ -6,8 +6,10 @@ two halves' distances (the multi-sequence traversal), measured from its own near
 is past a bound; what lies in the visited cells is verified by the cosine in double precision.
 
 The bound is fitted: a sample of queries is compared with *all* rows, and the bound is where the
-wanted share of their true neighbours has been met.  Codebooks and bound come from at most
-``SAMPLE`` and ``QUERIES`` vectors, chosen by hash; every row is indexed and every row is a query.
+wanted share of their true neighbours has been met, but never below the largest squared distance of
+linked vectors.  Codebooks come from at most ``SAMPLE`` vectors, chosen by hash, and the bound from the
+first ``QUERIES`` of them, or more while they meet fewer than ``ENOUGH`` neighbours; every row is
+indexed and every row is a query.
 
 Equal vectors are one node.  Cells are cut into blocks of rows and of visits, so a task compares
 two blocks of bounded size; it returns each row's number of links and the block's spanning stars,
@@ -20,6 +22,7 @@ non-finite components link with nothing; repeated rows count as copies; an empty
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +33,9 @@ from pyspark.sql import functions as F
 from kinfold.llm.components import components
 from kinfold.llm.shared import written
 
-#: Vectors that the codebooks are fitted on, and queries that the bound is fitted on, at most.
-SAMPLE, QUERIES = 20_000, 1_000
+#: Vectors that the codebooks are fitted on at most, queries that the bound is fitted on at first, and
+#: neighbours that it wants; with fewer, four times as many queries are asked next, up to the sample.
+SAMPLE, QUERIES, ENOUGH = 20_000, 1_000, 300
 #: Rows of a cell and visits to it that one task compares, about.
 BLOCK = 2_048
 #: Rows a cell holds on average; so the grid grows with the table.
@@ -136,31 +140,40 @@ def fit_index(nodes: DataFrame, dim: int, n: int, least: float, recall: float) -
     sample = nodes.select("node", "packed").orderBy(F.xxhash64(F.lit(9), "node")).limit(SAMPLE).toPandas()
     unit = unit_rows(matrix(sample.packed, dim))
     index = MultiIndex(unit, max(1, round((n / CELL_ROWS) ** 0.5)))
-    queries, ids = unit[:QUERIES], sample.node.to_numpy()[:QUERIES]
-    far = index.far(queries)
     width = len(index.books[1])
+    met: Counter = Counter()
+    asked, more = 0, QUERIES
+    while asked < len(unit) and sum(met.values()) < ENOUGH:
+        met.update(neighbour_bins(nodes, index, dim, least, unit[asked : asked + more], sample.node.to_numpy()[asked : asked + more], width))
+        asked, more = asked + more, more * 4
+    running, total = 0, sum(met.values())
+    index.bound = floor = (1 - least) * 2
+    for b in sorted(met):
+        running += met[b]
+        if running >= recall * total:
+            index.bound = max(floor, (b + 1) * BIN * SLACK)
+            break
+    return index
+
+
+def neighbour_bins(nodes: DataFrame, index: MultiIndex, dim: int, least: float, queries: np.ndarray, ids: np.ndarray, width: int) -> dict[int, int]:
+    """How many neighbours of the queries lie how far past the queries' own cells, in steps of BIN."""
+    far, step = index.far(queries), max(64, 4_096_000 // len(queries))
 
     def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(BINS, int)
         for batch in batches:
             rows, nodes_here = unit_rows(matrix(batch.packed, dim)), batch.node.to_numpy()
-            for at in range(0, len(rows), 4096):
-                part = rows[at : at + 4096]
-                q, y = np.nonzero((queries @ part.T >= least) & (ids[:, None] != nodes_here[None, at : at + 4096]))
+            for at in range(0, len(rows), step):
+                part = rows[at : at + step]
+                q, y = np.nonzero((queries @ part.T >= least) & (ids[:, None] != nodes_here[None, at : at + step]))
                 cell = index.cells(part)[y]
                 past = far[0][q, cell // width] + far[1][q, cell % width]
                 counts += np.bincount(np.minimum((past / BIN).astype(int), BINS - 1), minlength=BINS)
         yield pd.DataFrame({"bin": np.nonzero(counts)[0], "n": counts[counts > 0]})
 
-    met = {r.bin: r.n for r in nodes.select("node", "packed").mapInPandas(neighbours, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()}
-    running, total = 0, sum(met.values())
-    index.bound = (1 - least) * 2  # where the sample has no neighbours at all
-    for b in sorted(met):
-        running += met[b]
-        if running >= recall * total:
-            index.bound = (b + 1) * BIN * SLACK
-            break
-    return index
+    found = nodes.select("node", "packed").mapInPandas(neighbours, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    return {r.bin: r.n for r in found.collect()}
 
 
 def near_duplicates(df: DataFrame, id_column: str = "vec_id", column: str = "embedding", least: float = 0.95, recall: float = 1.0) -> DataFrame:

@@ -88,6 +88,28 @@ def test_vectors_against_brute_force(spark):
     assert all(got[i].n_links == 0 and got[i].component_id == i and got[i].kept for i in range(800, 807))
 
 
+def test_vectors_with_few_links(spark, monkeypatch):
+    """One link in the first queries, a tight one, mustn't narrow the search for the others."""
+    monkeypatch.setattr(vectors, "QUERIES", 40)
+    monkeypatch.setattr(vectors, "CELL_ROWS", 4)
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(900, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    apart = rng.normal(size=(200, 64)) / 8
+    apart -= (apart * base[:200]).sum(1, keepdims=True) * base[:200]
+    apart /= np.linalg.norm(apart, axis=1, keepdims=True)
+    cosine = rng.uniform(0.951, 0.97, (200, 1))
+    m = np.r_[base, cosine * base[:200] + np.sqrt(1 - cosine**2) * apart, base[300:] + 1e-4]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(rows).collect()}
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.95).sum(1) - 1
+    assert sum(got.values()) >= 0.99 * want.sum()
+    monkeypatch.setattr(vectors, "neighbour_bins", lambda *a: {0: 1})
+    nodes = spark.createDataFrame([(i, v.astype("<f8").tobytes()) for i, v in enumerate(unit[:60])], "node long, packed binary")
+    assert vectors.fit_index(nodes, 64, 60, 0.95, 1.0).bound >= 0.1 - 1e-9
+
+
 def test_vectors_empty(spark):
     assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
