@@ -50,6 +50,14 @@ def sketches(records: DataFrame, mode: str) -> DataFrame:
     return rows.withColumn("m", F.array(*each)).withColumn("bands", bands).drop("m")
 
 
+def first_of_words(records: DataFrame, mode: str, k: int) -> DataFrame:
+    """``records`` without the targets past the first ``k`` of their country, source and word set, by rid."""
+    targets = records.where(f"source in (2, 3) and missing = {int(mode == 'name')}")
+    rank = F.row_number().over(Window.partitionBy("country", "source", F.array_sort("words")).orderBy("rid"))
+    kept = sketches(targets, mode).select("rid", rank.alias("rank")).where(F.col("rank") <= k).select("rid")
+    return targets.join(kept, "rid", "left_semi")
+
+
 def minhash_index(records: DataFrame, mode: str, limit: int | None = BUCKET_LIMIT) -> tuple[DataFrame, DataFrame]:
     """((country, source, band, t), (t)): what is indexed, and what was left out because one of its
     buckets was full.  ``name`` holds targets without an address, ``joint`` those with one."""
@@ -65,9 +73,11 @@ def minhash_index(records: DataFrame, mode: str, limit: int | None = BUCKET_LIMI
     return ranked.join(out, "t", "left_anti").select("country", "source", "band", "t"), out
 
 
-def minhash_hits(records: DataFrame, mode: str, k: int = 10, verified: bool = False, limit: int | None = BUCKET_LIMIT) -> DataFrame:
-    """Targets that share a band with a query, by exact Jaccard similarity of their words."""
-    index, _ = minhash_index(records, mode, limit)
+def minhash_hits(records: DataFrame, mode: str, k: int = 10, verified: bool = False, limit: int | None = None) -> DataFrame:
+    """Targets that share a band with a query, by exact Jaccard similarity of their words.  Targets of
+    one country, source and word set meet the same queries at the same score, so no query can take
+    more than the first ``k`` of them; without ``limit`` nothing else is left out."""
+    index, _ = minhash_index(records if limit is not None else first_of_words(records, mode, k), mode, limit)
     queries = records.where("source = 1" if mode == "name" else "source = 1 and missing = 0")
     asked = sketches(queries, mode)
     met = asked.select(F.col("rid").alias("q"), F.col("country").alias("own"), F.explode("bands").alias("band")).join(index, "band")

@@ -222,6 +222,15 @@ def test_minhash_modes(spark, sample):
     assert out.count() > 0 and index_.join(out, "t").count() == 0
 
 
+def test_minhash_with_a_name_past_a_full_bucket(spark):
+    make = lambda s, names: records.normalise(spark.createDataFrame([(s * 1000 + i, f"S{s}-{i}", n, "", "US") for i, n in enumerate(names)], "rid long, entity_id string, business_name string, business_address string, country string"), s)
+    recs = make(1, ["blue river bakery", "blue river bakery shop"]).unionByName(make(2, ["Blue River Bakery"] * 300 + ["Blue River Bakery Shop"])).cache()
+    got = {(r.q, r.t): r.score for r in retrieve.all_hits(recs, ("minhash_name",)).where("channel = 'minhash_name'").collect()}
+    assert got[1001, 2300] == 1.0 and {t for q, t in got if q == 1000} == set(range(2000, 2010))
+    whole, few = retrieve.minhash_index(recs, "name", None)[0], retrieve.minhash_index(retrieve.first_of_words(recs, "name", 10), "name", None)[0]
+    assert whole.select("t").distinct().count() == 301 and few.select("t").distinct().count() == 11
+
+
 def brute_fuse(hits, k, coverage=2):
     groups = {}
     for t, s, c, x in hits:
