@@ -55,6 +55,7 @@ def truth_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.unionByName(shared).distinct()
 
 
+#: Beside the exact channel, as in the SQL; char, translit and MinHash are left out (README).
 CHANNELS = ("rare", "address")
 
 
