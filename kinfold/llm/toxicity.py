@@ -1,10 +1,13 @@
 """Toxicity by a subsequence string kernel and a support vector machine on Nystroem landmarks.
 
 Units of a text are its words, lower-cased with all but letters taken out (so "id-i*ot" is one
-word), and runs of single letters joined ("i d i o t").  A unit's features are its subsequences
-of three letters, each with weight DECAY ** span, up to SPAN letters apart: inserted letters lessen
-a match, they don't lose it.  The kernel of two units is the product of these features, each scaled
-by a length that depends on the number of letters only, which keeps it a kernel.
+word; digits that stand for letters, as in "1d10t", are read as these), and runs of single letters
+joined ("i d i o t").  A unit's letters follow a mark for its start.  Its features are its
+subsequences of three, each with weight DECAY ** span, up to SPAN apart: inserted letters lessen a
+match, they don't lose it.  a-z have a code each; all other letters share OTHERS codes, so that those
+of one alphabet or of one accented Latin block differ.  The kernel of two units is the product of
+these features, each scaled by a length that depends on the number of letters only, which keeps it a
+kernel.
 
 Landmarks are units of the labelled sentences; the kernel with them gives the Nystroem features on
 which a linear machine with squared hinge loss is trained.  Labels belong to texts, not to units:
@@ -15,16 +18,20 @@ decision is linear in the features, so it folds into one table over letter tripl
 scored without going back to the landmarks.  A text's score is a logistic function of the margins
 of its worst distinct units and of how many it has.
 
-Training uses at most TOXIC + CLEAN labelled texts, drawn by hash; scoring covers all texts.
+Training uses at most about TOXIC + CLEAN labelled texts, drawn by hash, one for each labelled id;
+scoring covers all texts.  A unit longer than LONGEST
+letters is trained on and scored by its overlapping pieces, of which the worst counts.
 
 Cases: null and empty texts and texts without letters score as having no bad unit; without labels
-of both classes every score is 0; repeated rows score alike; other columns stay.
+of both classes every score is 0; repeated rows score alike; other columns stay, but for ``score``
+and ``predicted``, which are replaced.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -37,18 +44,23 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.shared import text_or_empty
 
-DECAY, SPAN, LETTERS = 0.6, 6, 32
+DECAY, SPAN, LETTERS = 0.6, 6, 64
+#: Codes: 0 past the end, 1 to 26 a-z, START before the first letter, then those of all other letters.
+START, OTHERS = 27, 36
 #: Worst units of a text that its score looks at.
 WORST = 3
 #: Letters of a unit looked at once; longer ones are cut into overlapping pieces.
 LONGEST = 24
 #: Labelled texts that are trained on, at most about, and landmarks of either kind.
-TOXIC, CLEAN, LANDMARKS = 1_000, 2_200, 64
+TOXIC, CLEAN, LANDMARKS = 1_000, 2_200, 128
 #: Margins that a worker keeps, in two generations, and characters that it scores at once.
 MAX_UNITS, TEXTS_AT_ONCE = 120_000, 1_000_000
 
 _DROP = {i: None for i in range(128) if not chr(i).isalpha() and not chr(i).isspace()}
 _SPELT = regex.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+#: Signs that are read as letters beside letters.
+_READ_AS = dict(zip("013457@$", "oieastas", strict=True))
+_LOOKS = regex.compile(r"(?<=\p{L})[013457@$]+(?=\p{L})|(?<!\S)[013457](?=\p{L}[\p{L}013457@$]{2})")
 _GAPS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
 
@@ -56,20 +68,24 @@ def units(text: str | None) -> list[str]:
     """The units of a text, repeats included."""
     if not text:
         return []
-    plain = text.lower().translate(_DROP)
+    plain = text.lower()
+    if not plain.isascii():
+        plain = unicodedata.normalize("NFC", plain)
+    plain = _LOOKS.sub(lambda m: "".join(_READ_AS[c] for c in m[0]), plain).translate(_DROP)
     words = plain.split()
     return words + ["".join(run.split()) for run in _SPELT.findall(plain)]
 
 
 def _codes(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Units as rows of letter numbers, 0 past the end, and their lengths."""
+    """Units as rows of letter numbers behind START, 0 past the end, and their lengths with START."""
     lengths = np.array([len(u) for u in batch])
     points = np.frombuffer("".join(batch).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    table = np.zeros((len(batch), SPAN + int(lengths.max(initial=1))), np.int64)
+    table = np.zeros((len(batch), 1 + SPAN + int(lengths.max(initial=1))), np.int64)
+    table[:, 0] = START
     rows = np.repeat(np.arange(len(batch)), lengths)
-    columns = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    table[rows, columns] = np.where((points >= 97) & (points <= 122), points - 96, 27 + points % 5)
-    return table, lengths
+    columns = 1 + np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    table[rows, columns] = np.where((points >= 97) & (points <= 122), points - 96, START + 1 + points % OTHERS)
+    return table, lengths + 1
 
 
 def _triples(table: np.ndarray) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
@@ -87,14 +103,16 @@ def _scale(lengths: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, DECAY**6))
 
 
-def features(batch: list[str]) -> np.ndarray:
-    """Dense features of a few units."""
+def features(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The triples that a few units hold, sorted, and the units' features over these."""
     table, lengths = _codes(batch)
-    out = np.zeros((len(batch), LETTERS**3), np.float32)
     rows = np.broadcast_to(np.arange(len(batch))[:, None], (len(batch), table.shape[1] - SPAN))
-    for weight, triple, inside in _triples(table):
-        np.add.at(out, (rows[inside], triple[inside]), weight)
-    return out / _scale(lengths)[:, None]
+    parts = [(weight, rows[inside], triple[inside]) for weight, triple, inside in _triples(table)]
+    held = np.unique(np.concatenate([t for _, _, t in parts]))
+    out = np.zeros((len(batch), len(held)), np.float32)
+    for weight, row, triple in parts:
+        np.add.at(out, (row, np.searchsorted(held, triple)), weight)
+    return held, out / _scale(lengths)[:, None]
 
 
 def _pieces(batch: list[str]) -> tuple[list[str], np.ndarray]:
@@ -126,9 +144,12 @@ def apply_table(batch: list[str], table: np.ndarray) -> np.ndarray:
     return out
 
 
-def products(batch: list[str], base: np.ndarray) -> np.ndarray:
-    """(units, landmarks): the kernel of units of at most LONGEST letters with features ``base``."""
-    out, columns = [], np.ascontiguousarray(base.T)
+def products(batch: list[str], held: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """(units, landmarks): the kernel of units of at most LONGEST letters with features ``base`` over
+    the triples ``held``."""
+    out, columns = [], np.ascontiguousarray(np.c_[base, np.zeros(len(base), base.dtype)].T)
+    place = np.full(LETTERS**3, len(held), np.int32)  # all other triples: the column of zeros
+    place[held] = np.arange(len(held))
     for at in range(0, len(batch), 256):
         codes, lengths = _codes(batch[at : at + 256])
         sums = np.zeros((len(codes), len(base)), np.float32)
@@ -136,7 +157,7 @@ def products(batch: list[str], base: np.ndarray) -> np.ndarray:
             rows, places = np.nonzero(inside)
             if len(rows):
                 starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-                sums[rows[starts]] += np.float32(weight) * np.add.reduceat(columns[triple[rows, places]], starts)
+                sums[rows[starts]] += np.float32(weight) * np.add.reduceat(columns[place[triple[rows, places]]], starts)
         out.append(sums / _scale(lengths)[:, None])
     return np.concatenate(out)
 
@@ -229,6 +250,20 @@ def _first_guess(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, floa
     return {s: np.log((n + 0.05) / (len(toxic) + 1)) - np.log((good[s] + 0.5) / (len(clean) + 1)) + np.log(n) for s, n in bad.items()}
 
 
+def guessed(unit: str, guess: dict[str, float]) -> float:
+    return max((guess.get(unit[i : i + n], -9.0) for n in (4, 5) for i in range(len(unit) - n + 1)), default=-9.0)
+
+
+def worst_pieces(batch: list[str], machine: Machine | None, guess: dict[str, float]) -> list[str]:
+    """Of each long unit the piece that the machine, or before it the first guess, finds worst."""
+    if not batch:
+        return []
+    pieces, owner = _pieces(batch)
+    value = machine.margins(pieces) if machine else np.array([guessed(p, guess) for p in pieces])
+    best = np.lexsort((-value, owner))
+    return [pieces[i] for i in best[np.r_[True, owner[best][1:] != owner[best][:-1]]]]
+
+
 def fit(toxic: Iterable[list[str]], clean: Iterable[list[str]], clean_weight: float = 1.0, rounds: int = 3, seed: int = 3) -> Machine | None:
     """Trains on the units of toxic and of clean texts."""
     rng = np.random.default_rng(seed)
@@ -237,11 +272,11 @@ def fit(toxic: Iterable[list[str]], clean: Iterable[list[str]], clean_weight: fl
     in_clean = Counter(u for t in good for u in t)
     pool, own = sorted(in_clean), sorted(set().union(*bad))
     guess = _first_guess(bad, good)
-    value = {u: max((guess.get(u[i : i + n], -9.0) for n in (4, 5) for i in range(len(u) - n + 1)), default=-9.0) for u in own}
-    del guess
+    value = {u: guessed(u, guess) for u in own}
+    long_, machine = sorted(u for u in {*own, *pool} if len(u) > LONGEST), None
     ratio = len(bad) / len(good) if good else 1.0
     sample = [pool[i] for i in rng.choice(len(pool), min(len(pool), 12_000), replace=False)]
-    common = [u for u, _ in in_clean.most_common(2_000)]
+    common = sorted(pool, key=lambda u: (-in_clean[u], u))[:2_000]
     hard: list[str] = []
     for _ in range(rounds):
         positives = Counter(u for t in bad for u in sorted(t, key=lambda u: (-value[u], u))[:2])
@@ -249,19 +284,23 @@ def fit(toxic: Iterable[list[str]], clean: Iterable[list[str]], clean_weight: fl
         if not positives:
             break
         negatives = [u for u in dict.fromkeys(common + sample + hard) if u not in positives]
-        marks = list(dict.fromkeys(u[:LONGEST] for u in [*(u for u, _ in positives.most_common(LANDMARKS)), *hard[: LANDMARKS // 2], *sample[:LANDMARKS]]))
-        base = features(marks)
+        worst = dict(zip(long_, worst_pieces(long_, machine, guess), strict=True))
+        shown = lambda u: worst.get(u, u)
+        marks = list(dict.fromkeys(shown(u) for u in [*(u for u, _ in positives.most_common(LANDMARKS)), *hard[: LANDMARKS // 2], *sample[:LANDMARKS]]))
+        held, base = features(marks)
         power, basis = np.linalg.eigh((base @ base.T).astype(float))
         keep = power > 1e-6 * power.max()
         to_features = basis[:, keep] / np.sqrt(power[keep])
-        gapped = {with_insertion(u, rng): n / 2 for u, n in positives.items() if len(u) > 3 for _ in range(2)}
+        gapped = {with_insertion(shown(u), rng): n / 2 for u, n in positives.items() if len(u) > 3 for _ in range(2)}
         gapped = {u: n for u, n in gapped.items() if u not in positives and u not in in_clean}
         rows = [*positives, *gapped, *negatives]
-        x = products([u[:LONGEST] for u in rows], base) @ to_features
+        x = products([shown(u) for u in rows], held, base) @ to_features
         y = np.r_[np.ones(len(positives) + len(gapped)), -np.ones(len(negatives))]
         weight = np.r_[list(positives.values()), list(gapped.values()), [max(0.3, in_clean[u] * ratio) for u in negatives]]
         w = squared_hinge(x, y, np.minimum(weight, 20.0), 1.0)
-        machine = Machine((to_features @ w[:-1]) @ base, w[-1])
+        table = np.zeros(LETTERS**3)
+        table[held] = (to_features @ w[:-1]) @ base
+        machine = Machine(table, w[-1])
         margin = dict(zip(pool, machine.margins(pool).tolist(), strict=True))
         hard = list(dict.fromkeys(hard + sorted(pool, key=lambda u: -margin[u])[:1500]))
         value = dict(zip(own, machine.margins(own).tolist(), strict=True))
@@ -295,7 +334,8 @@ def held_out(id_column: Column) -> Column:
 
 def train(texts: DataFrame, labels: DataFrame) -> Machine | None:
     """A machine from (id, text) and (id, toxic): at most about TOXIC and CLEAN texts, drawn by a hash
-    of id.  The drawn labels, so many at most, go to the texts, which stay where they are."""
+    of id.  The drawn labels, so many at most, go to the texts, which stay where they are; of an id
+    that several rows hold one text is taken, the least by its hash, before anything is gathered."""
     labels = labels.where(F.col("toxic").isin(0, 1) & F.col("id").isNotNull())
     sizes = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
@@ -306,9 +346,11 @@ def train(texts: DataFrame, labels: DataFrame) -> Machine | None:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch.toxic, "units": [" ".join(sorted(set(units(t)))) for t in batch.text]})
+            yield pd.DataFrame({"id": batch.id, "toxic": batch.toxic, "units": [" ".join(sorted(set(units(t)))) for t in batch.text]})
 
-    rows = texts.join(F.broadcast(drawn), "id").select("id", "text", "toxic").mapInPandas(run, "toxic int, units string").toPandas().sort_values(["toxic", "units"])
+    found = texts.join(F.broadcast(drawn), "id").select(F.col("id").cast("string").alias("id"), "text", "toxic").mapInPandas(run, "id string, toxic int, units string")
+    one = found.groupBy("id", "toxic").agg(F.min(F.struct(F.xxhash64("units").alias("h"), "units")).alias("one"))
+    rows = one.select("toxic", "one.units").toPandas().sort_values(["toxic", "units"])
     bad, good = ([u for u in rows.units[rows.toxic == t] if u] for t in (1, 0))
     if not bad or not good:
         return None
@@ -335,7 +377,7 @@ def probability_of(spark, machine: Machine | None, text: Column) -> Column:
 
 def score(docs: DataFrame, machine: Machine | None, column: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
-    scored = docs.withColumn("score", probability_of(docs.sparkSession, machine, F.col(column)))
+    scored = docs.drop("predicted").withColumn("score", probability_of(docs.sparkSession, machine, F.col(column)))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -1,6 +1,7 @@
 """Each operator against brute force or an exact round trip, and on awkward rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -305,10 +306,57 @@ def test_components(spark):
 
 
 def test_kernel_of_gapped_units():
-    k = lambda a, b: float(toxicity.features([a])[0] @ toxicity.features([b])[0])
+    def k(a, b):
+        held, base = toxicity.features([a])
+        return float(toxicity.products([b], held, base)[0, 0])
+
     assert k("moan", "moan") == pytest.approx(1, abs=1e-5)
     assert k("idiot", "idxiot") > 0.5 > k("idiot", "garden")
+    assert k("achlich", "achlicher") > k("achlich", "bachlich") > k("achlich", "garten")  # the start counts
+    assert k("\u00e4\u00df\u00e4\u00df", "\u00e9\u00e8\u00e9\u00e8") < 0.1  # accented letters differ
     assert toxicity.units("an id-i*ot, i d i o t!") == ["an", "idiot", "i", "d", "i", "o", "t", "idiot"]
+    assert toxicity.units("1d10t 2015 e\u0301t\u00e9 sc$m$$$ 1mbecile") == ["idiot", "\u00e9t\u00e9", "scsm", "imbecile"]
+    held, base = toxicity.features(["idiot", "worthless"])
+    brute = np.zeros(toxicity.LETTERS**3)
+    codes = [toxicity.START] + [ord(c) - 96 for c in "worthy"]
+    for i, j, m in itertools.combinations(range(len(codes)), 3):
+        if m - i < toxicity.SPAN:
+            brute[(codes[i] * toxicity.LETTERS + codes[j]) * toxicity.LETTERS + codes[m]] += toxicity.DECAY ** (m - i + 1)
+    brute /= toxicity._scale(np.array([7]))[0]
+    assert np.allclose(toxicity.products(["worthy"], held, base)[0], base @ brute[held], atol=1e-6)
+    table = np.arange(toxicity.LETTERS**3) / 1e5
+    table[:: toxicity.LETTERS] = 0  # triples that reach past the end
+    assert toxicity.apply_table(["worthy"], table)[0] == pytest.approx(brute @ table, rel=1e-4)
+
+
+def test_long_units_are_learnt_from_their_worst_piece():
+    rng = random.Random(3)
+    harmless = lambda: "".join(rng.choice(["garden", "meadow", "window", "spring"]) for _ in range(5))
+    bad = [[harmless() + "worthlessidiot", "the"] for _ in range(60)]
+    machine = toxicity.fit(bad, [[harmless(), "the", "and"] for _ in range(200)], 1.0)
+    assert machine.margins(["worthlessidiot"])[0] > 0 > max(machine.margins(["garden", "meadowwindow"]))
+
+
+def test_toxicity_on_held_out_labels(spark):
+    """Recall and precision on the labels that were not learnt from, by language."""
+    found = toxicity.op6_string_kernel(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").join(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "lang"), "doc_id")
+    rows = found.where("held_out").select("lang", "toxic", "predicted").collect()
+    share = lambda part: np.mean([r.predicted == r.toxic for r in part])
+    assert len(rows) > 800 and share(rows) >= 0.975 and share([r for r in rows if not r.toxic]) >= 0.99 and share([r for r in rows if r.toxic]) >= 0.85
+    for lang, least in (("en", 0.88), ("fr", 0.9), ("es", 0.9), ("de", 0.6)):
+        assert share([r for r in rows if r.toxic and r.lang == lang]) >= least, lang
+
+
+def test_repeated_labelled_ids_are_gathered_once(spark):
+    texts = spark.createDataFrame([(1, f"idiot {i}") for i in range(50)] + [(2 + i, "garden and word") for i in range(9)], "id long, text string")
+    seen = []
+    labels = texts.select("id", (F.col("id") == 1).cast("int").alias("toxic")).distinct()
+    fit, toxicity.fit = toxicity.fit, lambda bad, good, **k: seen.append((list(bad), list(good)))
+    try:
+        toxicity.train(texts, labels)
+    finally:
+        toxicity.fit = fit
+    assert (len(seen[0][0]), len(seen[0][1])) == (1, 9)
 
 
 def test_toxicity_learns_insults():
