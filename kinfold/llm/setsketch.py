@@ -7,13 +7,19 @@ Jaccard similarity says.  Bands of registers bring candidates together; how many
 larger, smaller and equal gives the most likely similarity of a pair, which sorts out what is far
 below the threshold; what is left is confirmed on the full shingle sets.
 
-Equal texts are one node.  In each bucket all members are compared with one of them only, chosen
-anew in each bucket, so that large groups of copies never give all their pairs.  What the links
-found so far leave in different components of a bucket is then compared block by block, by
-registers first; so no candidate pair is lost, and no group is capped.
+Equal texts (by a 128-bit hash) are one node, whatever their ids.  In each bucket all members are
+compared with one of them only, chosen anew in each bucket, so that large groups of copies never
+give all their pairs.  What is left outside the bucket's largest component is compared with one
+member of that component and one of the rest, STARS times over, each in time linear in the bucket.
+What the links found so far still leave in different components of a bucket is then compared block
+by block: by registers, whose size is fixed, and then, for the members that any register test let
+through, on full sets, in blocks bounded in rows and bytes; so no candidate pair is lost, and no
+group is capped.
 
 Cases: texts without words (null, empty) have an empty set and link with nothing; repeated rows
-are copies; rows without id are kept; an empty table gives an empty table.
+are copies; rows that share an id with another text are documents of their own, and a component is
+named by the smallest id in it; rows without id are kept and link with nothing; an empty table gives
+an empty table; other columns don't come through, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,8 +42,10 @@ SPACING, SCALE, TOP = 1.001, 64.0, 65_534
 #: A pair is dropped before the exact test if its likeliest similarity is this far below the bound:
 #: over four standard deviations of the estimate.
 MARGIN = 0.16
-#: Members of a bucket compared in one task, on either side.
-BLOCK = 1_024
+#: Members of a bucket compared in one group, on either side, and bytes of their full sets, about.
+BLOCK, BLOCK_BYTES = 256, 8_000_000
+#: Rounds in which what is left of a bucket is compared with single members of it.
+STARS = 1
 #: Shingles whose membership is laid out in one table.
 COLUMNS = 4_096
 #: Below so many candidate documents (8 bytes each), their ids are broadcast.
@@ -142,7 +150,7 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["node", "packed"])
 
     wanted = F.broadcast(wanted) if wanted.count() <= FEW else wanted
-    texts = docs.withColumnRenamed("id", "node").join(wanted, ["node", "t1", "t2"]).select("node", "text")
+    texts = docs.join(wanted, ["t1", "t2"]).select("node", "text")
     return texts.mapInArrow(run, "node long, packed binary").dropDuplicates(["node"])
 
 
@@ -171,53 +179,84 @@ def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def rest_of_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def open_buckets(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((key, node, component), (key, main, all, most)) of the buckets whose members are in different
+    components so far; ``main`` is the largest component, with ``most`` of ``all`` members."""
+    known = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    parts = known.groupBy("key", "component").agg(F.count("*").alias("size"))
+    buckets = parts.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most"))
+    return known, written(buckets.where(F.col("all") > F.col("most")))
+
+
+def more_stars(known: DataFrame, buckets: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each member outside its bucket's main component with one member of that
+    component and with one of the others, chosen by a hash of the turn."""
+    known = known.join(buckets, "key")
+    outside = F.col("component") != F.col("main")
+    pick = F.struct(F.xxhash64(F.lit(31 + turn), "key", "node"), "node")
+    centres = known.groupBy("key").agg(F.min(F.when(~outside, pick)).alias("in"), F.min(F.when(outside, pick)).alias("out"))
+    ends = F.explode(F.array("in.node", "out.node")).alias("centre")
+    pairs = known.where(outside).select("key", "node").join(centres, "key").select("node", ends).where("node <> centre")
+    return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+
+
+def rest_of_buckets(known: DataFrame, buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links (a, b) between members of a bucket that are in different components so far.
 
     In each bucket the members outside its largest component ask all its members.  Both sides are
     cut into blocks by hash, so tasks are bounded and a bucket of any size is gone through whole.  A
-    task sorts out by registers, confirms on the full sets, and returns the links alone, so the
-    pairs of a large group never become rows.  A pair is looked at in the first bucket it shares.
+    first pass sends registers alone and returns, for each pair of blocks, the members that any
+    likely pair holds; the second sends the full sets of these and returns the links, so the pairs
+    of a large group never become rows.  A pair is looked at in the first bucket it shares.
     """
     least = percent / 100
-    known = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    parts = known.groupBy("key", "component").agg(F.count("*").alias("size"))
-    buckets = parts.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most")).where(F.col("all") > F.col("most"))
-    blocks = written(buckets.select("key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("held"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("asking")))
+    rows = known.join(buckets, "key")
+    sizes = rows.join(nodes.select("node", (F.col("n") * 8).alias("bytes")), "node")
+    outside = F.col("component") != F.col("main")
+    counted = sizes.groupBy("key").agg(F.first("main").alias("main"), F.count("*").alias("all"), F.sum("bytes").alias("all_bytes"), F.count_if(outside).alias("some"), F.sum(F.when(outside, F.col("bytes"))).alias("some_bytes"))
+    cut = lambda n, b: F.greatest(F.ceil(F.col(n) / BLOCK), F.ceil(F.col(b) / BLOCK_BYTES)).cast("int")
+    blocks = written(counted.select("key", "main", cut("all", "all_bytes").alias("held"), cut("some", "some_bytes").alias("asking")))
     rows = written(known.join(blocks, "key"))
     salt = lambda c: F.pmod(F.xxhash64(F.lit(13), "node"), F.col(c)).cast("int")
     span = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     asks = rows.where("component <> main").select("key", "node", "component", F.lit(True).alias("asks"), salt("asking").alias("x"), span("held").alias("y"))
     held = rows.select("key", "node", "component", F.lit(False).alias("asks"), span("asking").alias("x"), salt("held").alias("y"))
-    wanted = rows.select("node").distinct()
-    full = written(nodes.select("node", "bands", "regs").join(wanted, "node").join(sets, "node"))
-    both = asks.unionByName(held).join(full, "node")
+    sketches = written(nodes.select("node", "n", "bands", "regs").join(rows.select("node").distinct(), "node"))
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        q, h = group[group.asks], group[~group.asks]
-        if not len(q) or not len(h):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        at = int(np.flatnonzero(q.bands.iloc[0] == group.key.iloc[0])[0])
-        open_ = q.component.to_numpy()[:, None] != h.component.to_numpy()[None]
+    def likely_pairs(q: pd.DataFrame, h: pd.DataFrame) -> np.ndarray:
+        """Which of the pairs are in different components, share this bucket first and are likely."""
+        at = int(np.flatnonzero(q.bands.iloc[0] == q.key.iloc[0])[0])
+        found = q.component.to_numpy()[:, None] != h.component.to_numpy()[None]
         q_bands, h_bands = np.stack(q.bands.to_numpy()), np.stack(h.bands.to_numpy())
         for band in range(at):
-            open_ &= q_bands[:, band, None] != h_bands[None, :, band]
-        q_sets, h_sets = ([np.frombuffer(p, "<u8") for p in side.packed] for side in (q, h))
-        q_sizes, h_sizes = np.array([len(s) for s in q_sets], float), np.array([len(s) for s in h_sets], float)
-        q_regs, h_regs = _values(q.regs), _values(h.regs)
-        for i in np.flatnonzero(open_.any(1)):
-            j = np.flatnonzero(open_[i])
+            found &= q_bands[:, band, None] != h_bands[None, :, band]
+        q_regs, h_regs, q_sizes, h_sizes = _values(q.regs), _values(h.regs), q.n.to_numpy(float), h.n.to_numpy(float)
+        for i in np.flatnonzero(found.any(1)):
+            j = np.flatnonzero(found[i])
             more, less = (q_regs[i] > h_regs[j]).sum(1), (q_regs[i] < h_regs[j]).sum(1)
-            open_[i, j] = likeliest(more, less, np.full(len(j), q_sizes[i]), h_sizes[j]) >= least - MARGIN
-        i, j = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0))
-        if not len(i):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        common = common_counts([q_sets[x] for x in i], [h_sets[x] for x in j])
-        linked = open_[np.ix_(i, j)] & (100 * common >= percent * (q_sizes[i][:, None] + h_sizes[j][None] - common))
+            found[i, j] = likeliest(more, less, np.full(len(j), q_sizes[i]), h_sizes[j]) >= least - MARGIN
+        return found
+
+    def likely_members(group: pd.DataFrame) -> pd.DataFrame:
+        q, h = group[group.asks], group[~group.asks]
+        if not len(q) or not len(h):
+            return group.loc[[], ["key", "node", "component", "asks", "x", "y"]]
+        found = likely_pairs(q, h)
+        return pd.concat([q[found.any(1)], h[found.any(0)]])[["key", "node", "component", "asks", "x", "y"]]
+
+    def linked_pairs(group: pd.DataFrame) -> pd.DataFrame:
+        q, h = group[group.asks], group[~group.asks]
+        found = likely_pairs(q, h)
+        q_sets, h_sets = ([np.frombuffer(p, "<u8") for p in side.packed] for side in (q, h))
+        common = common_counts(q_sets, h_sets)
+        linked = found & (100 * common >= percent * (q.n.to_numpy(float)[:, None] + h.n.to_numpy(float)[None] - common))
         x, y = np.nonzero(linked)
-        return pd.DataFrame({"a": q.node.to_numpy()[i[x]], "b": h.node.to_numpy()[j[y]]})
+        return pd.DataFrame({"a": q.node.to_numpy()[x], "b": h.node.to_numpy()[y]})
 
-    return both.groupBy("key", "x", "y").applyInPandas(run, "a long, b long").distinct()
+    place = "key long, node long, component long, asks boolean, x int, y int"
+    some = written(asks.unionByName(held).join(sketches, "node").groupBy("key", "x", "y").applyInPandas(likely_members, place))
+    full = some.join(sketches, "node").join(sets, "node")
+    return full.groupBy("key", "x", "y").applyInPandas(linked_pairs, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", column: str = "text") -> DataFrame:
@@ -225,8 +264,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     text = text_or_empty(column)
     docs = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.lit(21), text).alias("t1"), F.xxhash64(F.lit(22), text).alias("t2"), text.alias("text"))
     rows = written(sketched(docs, words))
-    nodes = rows.where("n > 0 and id is not null").groupBy("t1", "t2").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("regs").alias("regs"))
-    nodes = written(nodes)
+    nodes = rows.where("n > 0 and id is not null").groupBy("t1", "t2").agg(F.min("id").alias("least_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("regs").alias("regs"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbers of their own, fixed by the write
     members = nodes.select("node", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("first")).where("size > 1")
     buckets = written(buckets)
@@ -234,16 +273,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     wanted = members.select("node").distinct().join(nodes.select("node", "t1", "t2"), "node")
     sets = written(shingle_table(docs, written(wanted), words))
     stars = members.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    members = members.select("key", "node")
     links = written(confirmed(likely(stars, nodes, percent / 100), sets, percent))
-    labels = written(components(links).select("node", "component"))
-    more = written(rest_of_buckets(members.select("key", "node"), labels, nodes, sets, percent))
-    groups = components(links.unionByName(more)).select(F.col("node").alias("root"), "component")
-    of_text = nodes.select("t1", "t2", "node").join(groups, F.col("node") == F.col("root"), "left").select("t1", "t2", F.coalesce("component", "node").alias("component"))
+    labels = written(labelled(links))
+    known, left = open_buckets(members, labels)
+    for turn in range(STARS + 1):
+        if not left.limit(1).count():
+            break
+        if turn < STARS:
+            more = confirmed(likely(more_stars(known, left, turn), nodes, percent / 100), sets, percent)
+        else:
+            more = rest_of_buckets(known, left, nodes, sets, percent)
+        links = links.unionByName(written(more))
+        labels = written(labelled(links))
+        known, left = open_buckets(members, labels) if turn < STARS else (known, left)
+    groups = nodes.select("node", "t1", "t2", "least_id").join(labels, "node", "left")
+    groups = written(groups.select("t1", "t2", "least_id", F.coalesce("component", "node").alias("component")))
+    names = groups.groupBy("component").agg(F.min("least_id").alias("name"))
+    of_text = groups.join(names, "component").select("t1", "t2", "name")
     out = rows.select("id", "n", "t1", "t2").join(of_text, ["t1", "t2"], "left")
-    component = F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id"))
+    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("name", "id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
+def labelled(links: DataFrame) -> DataFrame:
+    return components(links).select("node", "component")
+
+
 def op5_setsketch(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=2)
 

@@ -286,6 +286,34 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), root[i], root[i] == i) for i in range(len(texts))}
 
 
+def test_near_duplicates_with_shared_ids(spark, monkeypatch):
+    """Rows that share an id are documents of their own: no text's links are lost."""
+    a, b = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    got = setsketch.near_duplicates(spark.createDataFrame([(1, a), (1, b), (2, a + " x"), (3, b + " y"), (None, a)], "doc_id long, text string"), words=2).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got if r.doc_id) == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False)]
+    assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
+    monkeypatch.setattr(setsketch, "BLOCK", 8)
+    monkeypatch.setattr(setsketch, "STARS", 0)
+    rng = random.Random(17)
+    texts = []
+    for _ in range(25):
+        base = [f"w{rng.randrange(300)}" for _ in range(50)]
+        for _ in range(rng.choice([1, 2, 6, 20])):
+            w = list(base)
+            for _ in range(rng.randrange(7)):
+                w[rng.randrange(50)] = f"w{rng.randrange(300)}"
+            texts.append(" ".join(w))
+    rows = [(rng.randrange(60), t) for t in texts]
+    sets = [words_of(t, 2) for t in texts]
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    root = brute_components(range(len(texts)), linked)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[root[i]] = min(d, least.get(root[i], d))
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((d, len(sets[i]), least[root[i]]) for i, (d, _) in enumerate(rows))
+
+
 def test_near_duplicates_awkward(spark, awkward, empty):
     got = setsketch.near_duplicates(awkward, words=2).collect()
     assert len(got) == len(AWKWARD)
