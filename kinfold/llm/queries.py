@@ -22,5 +22,6 @@ ORACLES: dict[str, str] = {
     "op1_multi_index": vectors.OP1_SQL,
     "op4_levelled_line_dedup": lines.OP4_SQL,
     "op5_setsketch": setsketch.OP5_SQL,
+    "op7_imatch": imatch.OP7_SQL,
     "op10_license_scan": licenses.OP10_SQL,
 }

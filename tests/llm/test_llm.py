@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -437,9 +438,25 @@ def test_imatch_against_brute_force(spark):
         a, b = r.fingerprint.split("."), r.edited_fingerprint.split(".")
         either = [(x, y) for x, y in zip(a, b, strict=True) if (x, y) != ("-", "-")]
         assert r.near_edited == pytest.approx(sum(x == y for x, y in either) / len(either) if either else 1.0)
-        assert r.near_next == 1.0 or r.fingerprint != rows[order[(order.index(d) + 1) % len(order)]].fingerprint
     mean = lambda c: np.mean([r[c] for r in rows.values()])
     assert mean("near_edited") > 5 * mean("near_next")
+    # the lexicon, the kept terms and the hashes anew
+    words = {kind: {d: {" ".join(w) for w in words_of(t, 1)} for d, t in part.items()} for kind, part in (("own", texts), ("edited", edits))}
+    holds = Counter(w for ws in words["own"].values() for w in ws)
+    known = sorted(w for w, n in holds.items() if max(2, 0.02 * len(texts)) <= n <= max(2, 0.06 * len(texts)))
+    short = lambda ws: hashlib.md5(" ".join(sorted(ws)).encode()).hexdigest()[:8]
+
+    def brute(ws):
+        kept = ws & set(known)
+        if not kept:
+            return [short(ws)] + ["-"] * 31
+        return [short(s) if (s := {w for w in kept if hashlib.md5(f"{k} {w}".encode()).hexdigest()[0] == "0"}) else "-" for k in range(32)]
+
+    for i, d in enumerate(order):
+        a, b, c = brute(words["own"][d]), brute(words["edited"][d]), brute(words["own"][order[(i + 1) % len(order)]])
+        assert (rows[d].fingerprint, rows[d].edited_fingerprint) == (".".join(a), ".".join(b))
+        either = [x == y for x, y in zip(a, c, strict=True) if (x, y) != ("-", "-")]
+        assert rows[d].near_next == pytest.approx(sum(either) / len(either) if either else 1.0)
 
 
 def test_imatch_awkward(spark, awkward, empty):
@@ -455,12 +472,15 @@ def test_imatch_awkward(spark, awkward, empty):
 
 
 def test_next_row(spark):
-    ids = [5, 3, None, 9, 9, 1, 7, None]
-    df = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "doc_id long, tie long")
-    got = imatch.with_next(df.withColumn("value", F.col("tie")), "doc_id", "tie", "value").collect()
-    order = sorted(got, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), -r.tie))
-    assert [r.next for r in order] == [r.tie for r in order[1:]] + [order[0].tie]
-    assert imatch.with_next(df.limit(0).withColumn("value", F.col("tie")), "doc_id", "tie", "value").count() == 0
+    rng = random.Random(4)
+    for ids in ([5, 3, None, 9, 9, 1, 7, None], [8] * 300 + [None] * 200 + list(range(40)), ["b", "a", None, "b", "c"]):
+        rows = [(i, rng.randrange(1 << 40)) for i in ids]
+        df = spark.createDataFrame(rows, f"doc_id {'string' if 'a' in ids else 'long'}, tie long").repartition(3)
+        got = imatch.with_next(df.withColumn("value", F.col("tie")), "doc_id", "tie", "value", len(rows)).collect()
+        order = sorted(got, key=lambda r: (r.doc_id is not None, r.doc_id if r.doc_id is not None else 0, r.tie), reverse=True)
+        assert [r.next for r in order] == [r.tie for r in order[1:]] + [order[0].tie]
+        assert len(imatch.ranges(df, "doc_id", "tie", len(rows))) == 3
+    assert imatch.with_next(df.limit(0).withColumn("value", F.col("tie")), "doc_id", "tie", "value", 0).count() == 0
 
 
 # ---- op8
