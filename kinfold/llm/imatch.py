@@ -24,10 +24,10 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import WORD, ascii_lower, n_partitions, text_or_empty
+from kinfold.llm.shared import WORD, ascii_lower, bucket_of, key_struct, range_bounds, text_or_empty
 
 #: Lexicon subsets.
 SUBSETS = 32
@@ -35,8 +35,6 @@ SUBSETS = 32
 RARE, COMMON = 0.02, 0.06
 #: A band of the document frequency is cut from below at this many documents at least.
 FEWEST = 2
-#: Order keys drawn for each range into which rows are dealt.
-DRAWN = 64
 #: What stands for a subset that holds none of a text's terms.
 NONE = "-"
 
@@ -90,36 +88,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(either) == 0, F.lit(1.0)).otherwise(F.size(F.filter(either, lambda x: x == 1)) / F.size(either))
 
 
-def bucket_of(value: Column, bounds: list[Column]) -> Column:
-    """How many of the sorted ``bounds`` are at most ``value``, by halves."""
-    if not bounds:
-        return F.lit(0)
-    limits = F.array(*bounds)
-
-    def halve(a: Column, _: Column) -> Column:
-        mid = F.shiftright(a["lo"] + a["hi"], 1)
-        below = F.coalesce(F.get(limits, mid) <= value, F.lit(False))
-        return F.when(a["lo"] >= a["hi"], a).otherwise(F.struct(F.when(below, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(below, a["hi"]).otherwise(mid).alias("hi")))
-
-    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1))
-    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve, lambda a: a["lo"])
-
-
-def order_key(order: str, tie: str) -> Column:
-    return F.struct(F.col(order).isNotNull().alias("held"), F.col(order).alias("o"), F.col(tie).alias("t"))
-
-
-def ranges(rows: DataFrame, order: str, tie: str, n: int) -> list[Column]:
-    """Bounds that cut the order keys of ``n`` rows into about as many equal ranges as there are shuffle
-    partitions, from about DRAWN distinct keys a range."""
-    parts, scale = n_partitions(rows.sparkSession), 1 << 30
-    drawn = rows.select(order_key(order, tie).alias("k")).where(F.pmod(F.xxhash64(F.lit(3), "k"), F.lit(scale)) < min(scale, DRAWN * parts * scale // max(n, 1)))
-    keys = sorted((r.k for r in drawn.distinct().collect()), key=lambda k: tuple(k) if k.held else (False, k.t))
-    kind = rows.schema[order].dataType
-    chosen: list[Row] = [keys[len(keys) * i // parts] for i in range(1, parts)] if keys else []
-    return [F.struct(F.lit(k.held).alias("held"), F.lit(k.o).cast(kind).alias("o"), F.lit(k.t).alias("t")) for k in dict.fromkeys(chosen)]
-
-
 def with_next(rows: DataFrame, order: str, tie: str, value: str, n: int, whole: DataFrame | None = None) -> DataFrame:
     """Adds ``next``: the ``value`` of the row that follows in descending (order, tie), nulls last;
     after the last row, that of the first.  ``n`` is how many rows there are, about.
@@ -129,12 +97,13 @@ def with_next(rows: DataFrame, order: str, tie: str, value: str, n: int, whole:
     following range: ranges know each other's first keys, and only the values of these are fetched,
     from ``whole`` (or ``rows``), a table of (order, tie, value).
     """
-    placed = rows.withColumn("bucket", bucket_of(order_key(order, tie), ranges(rows, order, tie, n)))
-    heads = placed.groupBy("bucket").agg(F.max(order_key(order, tie)).alias("head"))
+    key = key_struct([order, tie])
+    placed = rows.withColumn("bucket", bucket_of(key, range_bounds(rows, [order, tie], n)))
+    heads = placed.groupBy("bucket").agg(F.max(key).alias("head"))
     following = F.lead("head").over(Window.orderBy(F.col("bucket").desc()))  # one row a range, keys alone
     follow = heads.select("bucket", F.coalesce(following, F.max_by("head", "bucket").over(Window.partitionBy())).alias("head"))
     whole = rows if whole is None else whole
-    at_head = whole.join(F.broadcast(follow), F.col(order).eqNullSafe(F.col("head.o")) & (F.col(tie) == F.col("head.t")))
+    at_head = whole.join(F.broadcast(follow), F.col(order).eqNullSafe(F.col("head.v0")) & (F.col(tie) == F.col("head.v1")))
     after = at_head.select("bucket", F.col(value).alias("after")).dropDuplicates(["bucket"])
     ahead = Window.partitionBy("bucket").orderBy(F.col(order).desc_nulls_last(), F.col(tie).desc())
     looked = placed.withColumn("ahead", F.lead(value).over(ahead)).join(after.hint("merge"), "bucket", "left")
@@ -177,7 +146,8 @@ OP7_SQL = r"""
 WITH d AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 n AS (SELECT doc_id, text, length(text) AS n, coalesce(lead(text) OVER o, first_value(text) OVER o) AS nx, coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id FROM d WINDOW o AS (ORDER BY doc_id DESC)),
 e AS MATERIALIZED (SELECT *, substring(text, 1, n - n // 3) || substring(nx, 1, n // 3) AS edited FROM n),
-w AS MATERIALIZED (SELECT doc_id, kind, list_distinct(list_filter(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '')) AS w
+w AS MATERIALIZED (SELECT doc_id, kind, list_distinct(list_filter(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda x: x <> '')) AS w
   FROM (SELECT doc_id, 'own' AS kind, text AS t FROM e UNION ALL SELECT doc_id, 'edited', edited FROM e)),
 x AS MATERIALIZED (SELECT doc_id, kind, unnest(w) AS word FROM w),
 lexicon AS (SELECT word FROM x WHERE kind = 'own' GROUP BY word HAVING count(*) BETWEEN greatest(2, 0.02 * (SELECT count(*) FROM d)) AND greatest(2, 0.06 * (SELECT count(*) FROM d))),

@@ -20,6 +20,7 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op1_multi_index": vectors.OP1_SQL,
+    "op2_jump_shards": sharding.OP2_SQL,
     "op4_levelled_line_dedup": lines.OP4_SQL,
     "op5_setsketch": setsketch.OP5_SQL,
     "op7_imatch": imatch.OP7_SQL,

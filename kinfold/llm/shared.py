@@ -11,7 +11,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The word rule of the contracts: runs of anything but ASCII white space.
@@ -69,5 +69,56 @@ def text_or_empty(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def hash64(hex_digits: Column) -> Column:
+    """The first 16 hex digits, of an md5 say, as a signed 64-bit number."""
+    return F.conv(F.substring(hex_digits, 1, 16), 16, -10).cast("long")
+
+
+def numbered(rows: DataFrame, key: str) -> DataFrame:
+    """``rows``, a written table with a column ``__row`` of monotonically increasing ids, with
+    ``__number``: a row's number, from 0, among those of equal ``key``.
+
+    A key may be that of very many rows, so they are numbered in cells, a key's rows from one
+    partition of the table before it was written, and cells are laid end to end by their counts.
+    """
+    cells = rows.withColumn("__part", F.shiftright("__row", 33))
+    counts = cells.groupBy(key, "__part").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    at = F.row_number().over(Window.partitionBy(key, "__part").orderBy("__row")) - 1
+    return cells.withColumn("__at", at).join(starts, [key, "__part"]).withColumn("__number", F.col("__start") + F.col("__at")).drop("__part", "__at", "__start")
+
+
+def key_struct(columns: list[str]) -> Column:
+    """The columns as one value that can be compared, nulls first."""
+    return F.struct(*[x for i, c in enumerate(columns) for x in (F.col(f"`{c}`").isNotNull().alias(f"h{i}"), F.col(f"`{c}`").alias(f"v{i}"))])
+
+
+def range_bounds(rows: DataFrame, columns: list[str], n: int, drawn: int = 64) -> list[Column]:
+    """Bounds that cut the keys of ``n`` rows into about as many equal ranges as there are shuffle
+    partitions, from about ``drawn`` distinct keys a range."""
+    parts, scale = n_partitions(rows.sparkSession), 1 << 30
+    some = rows.select(key_struct(columns).alias("k")).where(F.pmod(F.xxhash64(F.lit(3), "k"), F.lit(scale)) < min(scale, drawn * parts * scale // max(n, 1)))
+    keys = sorted((tuple(r.k) for r in some.distinct().collect()), key=lambda k: [(h, v) if h else (h,) for h, v in zip(k[::2], k[1::2], strict=True)])
+    types = [rows.schema[c].dataType for c in columns]
+    chosen = dict.fromkeys(keys[len(keys) * i // parts] for i in range(1, parts)) if keys else {}
+    return [F.struct(*[F.lit(v).cast("boolean" if i % 2 == 0 else types[i // 2]).alias(f"{'hv'[i % 2]}{i // 2}") for i, v in enumerate(k)]) for k in chosen]
+
+
+def bucket_of(value: Column, bounds: list[Column]) -> Column:
+    """How many of the sorted ``bounds`` are at most ``value``, by halves."""
+    if not bounds:
+        return F.lit(0)
+    limits = F.array(*bounds)
+
+    def halve(a: Column, _: Column) -> Column:
+        mid = F.shiftright(a["lo"] + a["hi"], 1)
+        below = F.coalesce(F.get(limits, mid) <= value, F.lit(False))
+        return F.when(a["lo"] >= a["hi"], a).otherwise(F.struct(F.when(below, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(below, a["hi"]).otherwise(mid).alias("hi")))
+
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve, lambda a: a["lo"])
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinfold.llm import bpe, components, imatch, licenses, lines, mixing, pseudo_lm, setsketch, sharding, shingles, toxicity, vectors
+from kinfold.llm import bpe, components, imatch, licenses, lines, mixing, pseudo_lm, setsketch, sharding, shared, shingles, toxicity, vectors
 
 SMALL = "/root/testdata/sf0.001"
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -133,6 +133,22 @@ def test_jump_hash_is_the_published_one(spark, n):
     assert all((r.w.shard, r.w.grown) == (published_jump(r.k, n), published_jump(r.k, n + 1)) for r in rows)
 
 
+def test_jump_draws_at_the_edge_of_a_step(spark):
+    """States whose low 33 bits are all ones, or none, are where a rounded division would go wrong."""
+    inverse = pow(2862933555777941757, -1, 2**64)
+    states = [(h << 33) + low for h in (0, 1, 2, 5, 77, 2**30, 2**31 - 1) for low in (0, 2**33 - 1)]
+    keys = [(k - 2**64 if k >= 2**63 else k,) for s in states for k in [(s - 1) * inverse % 2**64]]
+    rows = spark.createDataFrame(keys, "k long").withColumn("w", sharding.jump_walk(F.col("k"), 50)).collect()
+    assert all((r.w.shard, r.w.grown) == (published_jump(r.k, 50), published_jump(r.k, 51)) for r in rows)
+
+
+def test_slots_do_not_follow_the_layout(spark):
+    rows = [(7, f"t{i % 50}") for i in range(300)] + [(i, "x") for i in range(100)] + [(None, "y")] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("slot", F.lit("clash")).withColumn("shard", F.lit(0))
+    slots = lambda d: sorted(map(str, sharding.with_slots(sharding.assign_shards(d, ["doc_id"], 4), ["doc_id", "text"]).collect()))
+    assert slots(df.repartition(5)) == slots(df.coalesce(1)) and len(slots(df)) == len(rows)
+
+
 def test_shards_and_slots(spark, docs, awkward):
     for df in (docs, awkward):
         placed = sharding.with_slots(sharding.assign_shards(df, ["doc_id"], 8), ["doc_id"]).collect()
@@ -479,7 +495,7 @@ def test_next_row(spark):
         got = imatch.with_next(df.withColumn("value", F.col("tie")), "doc_id", "tie", "value", len(rows)).collect()
         order = sorted(got, key=lambda r: (r.doc_id is not None, r.doc_id if r.doc_id is not None else 0, r.tie), reverse=True)
         assert [r.next for r in order] == [r.tie for r in order[1:]] + [order[0].tie]
-        assert len(imatch.ranges(df, "doc_id", "tie", len(rows))) == 3
+        assert len(shared.range_bounds(df, ["doc_id", "tie"], len(rows))) == 3
     assert imatch.with_next(df.limit(0).withColumn("value", F.col("tie")), "doc_id", "tie", "value", 0).count() == 0
 
 
