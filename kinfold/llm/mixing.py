@@ -1,18 +1,23 @@
 """Mixes sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Every source is cut into a fixed number of hash blocks: a row's 64-bit hash says which block it is
-in and where in the block it stands, so blocks are disjoint random sets of whole documents and need
-no sort.  A source's target in words becomes a quota: so many whole blocks, and one block taken
-up to a hash; one row a source is then taken once more or less to come closer still.  The tree splits the vector of block quotas among the output shards: at each node
-the left half gets a multivariate-hypergeometric draw of what the node holds, exactly as if all
-blocks had been shuffled together, but from counts alone.  Leaves take disjoint runs of each
-source's permuted blocks; inside a shard, rows are ordered by a second hash.
+Every row has a 64-bit hash, whose first BLOCK_BITS say which of its source's blocks it is in, so
+blocks are disjoint random sets of whole documents and need no sort.  A source's blocks are permuted,
+and its target in words becomes an exact quota: so many of the permuted blocks, the last of them up
+to a hash.  Targets above a source's own size take its blocks again in a second pass.
+
+The tree splits the vector of block quotas among the output shards: at each node the left half gets
+a multivariate-hypergeometric draw of what the node holds, exactly as if all blocks had been shuffled
+together, but from counts alone.  Each leaf draws its disjoint run of each source's permuted blocks;
+a row is taken as often as a leaf holds its block.  One row a source is then taken once more or less
+to come closer still.  Inside a shard, rows are ordered by a second hash.
 
 Only the table of counts (sources x blocks) is ever gathered by source; no document leaves its
-partition except for the rows of the blocks that a quota cuts through.
+partition except for the light rows (source, size, hash) of the blocks that a quota cuts through.
+Targets and tree run over one row a source, so there may be MAX_SOURCES of them; more are an error.
 
 Cases: a null text has size 0; a null source is a source of its own, last in order; rows alike in
-doc_id and text are taken together; an empty table gives an empty table.
+doc_id and text get hashes of their own by their number, so they are taken one by one; an empty table
+gives an empty table; other columns stay, but for ``mix_shard``, which is replaced.
 """
 
 from __future__ import annotations
@@ -20,12 +25,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import WORD, written
+from kinfold.llm.shared import WORD, hash64, numbered, written
 
-#: Hash blocks a source and pass: 2**BLOCK_BITS.
+#: Hash blocks a source: 2**BLOCK_BITS.
 BLOCK_BITS = 12
-#: A prime above any number of a source's blocks: multiplying by it permutes them.
-STRIDE = 1_000_003
+#: An odd factor, which permutes the blocks, and a step by which sources' permutations differ.
+STRIDE, STEP = 1_000_003, 7_919
+#: Sources of one mix, at most.
+MAX_SOURCES = 20_000
+#: Below so many hashes of repeated rows (8 bytes each) they are broadcast.
+FEW = 500_000
 
 
 def word_count(text: str = "text") -> Column:
@@ -109,54 +118,60 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def mix_plan(rows: DataFrame, weights: list[int], share: float, most: int, shards: int, seed: int) -> DataFrame:
-    """What the mix takes of each row of (source, size, hash, ...): ``source_size``, ``target``,
-    ``copies`` and ``shards``, the shard of each copy.
+    """What the mix takes of each row of (source, size, hash, ...), hashes being distinct:
+    ``source_size``, ``target``, ``copies`` and ``shards``, the shard of each copy.
 
-    A copy in pass p is taken if the middle of the row, on its source's line of words in order of
-    (block, hash), lies before target - p * source_size: sums miss a target by half a row at most.
-    Inside one block that rule is a hash to stay below, so rows decide by themselves; only the rows
-    of the block that the target cuts are lined up.
+    In pass p a source's quota ends where the middle of a row, on the line of words in order of
+    (permuted block, hash), reaches target - p * source_size: sums miss a target by half a row at
+    most.  Inside one block that is a hash to stay below, so rows decide by themselves; only the rows
+    of the block that the quota cuts are lined up.
     """
     blocks = 1 << BLOCK_BITS
+    place = F.pmod(F.col("block") * STRIDE + F.col("rank") * STEP, F.lit(blocks))
     rows = rows.withColumn("block", F.shiftrightunsigned("hash", 64 - BLOCK_BITS))
     counts = written(rows.groupBy("source", "block").agg(F.sum("size").alias("words")))
-    goals = targets(counts.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
-    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    line = counts.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
+    sizes = written(counts.groupBy("source").agg(F.sum("words").alias("source_size")))
+    if sizes.count() > MAX_SOURCES:
+        raise ValueError(f"a mix has at most {MAX_SOURCES} sources")
+    goals = written(targets(sizes, weights, share, most))
+    before = Window.partitionBy("rank").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    line = counts.alias("c").join(goals.alias("g"), F.expr("c.source <=> g.source")).select("g.rank", "c.block", "c.words").withColumn("place", place)
+    line = line.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
     passes = goals.select("*", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("pass")).withColumn(
         "cut", F.greatest(F.lit(0.0), F.col("target") - F.col("pass") * F.col("source_size"))
     )
     passes = written(passes)
-    whole = line.alias("l").join(passes.alias("p"), F.expr("l.source <=> p.source")).select("p.source", "p.pass", "p.cut", "l.block", "l.start", "l.words")
+    whole = line.join(passes, "rank").select("source", "rank", "pass", "cut", "block", "place", "start", "words")
     cut_blocks = whole.where("start < cut and cut <= start + words")
-    in_cut = rows.alias("r").join(cut_blocks.alias("c"), F.expr("r.source <=> c.source and r.block = c.block")).select("c.source", "c.pass", "c.cut", "c.block", "c.start", "r.hash", "r.size")
-    same = in_cut.groupBy("source", "pass", "cut", "block", "start", "hash").agg(F.sum("size").alias("size"))
-    ahead = Window.partitionBy("source", "pass").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
-    middles = same.withColumn("middle", F.col("start") + F.coalesce(F.sum("size").over(ahead), F.lit(0)) + F.col("size") / 2)
-    limits = middles.groupBy("source", "pass").agg(F.first("block").alias("cut_block"), F.max(F.when(F.col("middle") < F.col("cut"), F.col("hash"))).alias("last_hash"))
-    ends = passes.alias("p").join(limits.alias("l"), F.expr("p.source <=> l.source and p.pass = l.pass"), "left").select(
-        "p.source", "p.rank", "p.source_size", "p.target", "p.pass", F.when(F.col("p.cut") > 0, F.coalesce("l.cut_block", F.lit(blocks))).otherwise(F.lit(-1)).cast("long").alias("cut_block"), "l.last_hash"
-    )
-    ends = written(ends)
-    drawn = F.when(F.col("cut_block") < 0, 0).otherwise(F.least(F.lit(blocks), F.col("cut_block") + 1)).cast("long")
-    quotas = ends.groupBy("rank").agg(F.sum(drawn).alias("blocks"))
-    of_source = (
-        ends.groupBy("source", "rank", "source_size", "target")
-        .agg(F.array_sort(F.collect_list(F.struct("pass", "cut_block", "last_hash"))).alias("passes"), F.sum(drawn).alias("n_blocks"))
-        .join(splitting_tree(quotas, shards, seed), "rank", "left")
+    in_cut = rows.alias("r").join(cut_blocks.alias("c"), F.expr("r.source <=> c.source and r.block = c.block")).select("c.rank", "c.pass", "c.cut", "c.place", "c.start", "r.hash", "r.size")
+    ahead = Window.partitionBy("rank", "pass").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
+    middles = in_cut.withColumn("middle", F.col("start") + F.coalesce(F.sum("size").over(ahead), F.lit(0)) + F.col("size") / 2)
+    limits = middles.groupBy("rank", "pass").agg(F.first("place").alias("cut_place"), F.max(F.when(F.col("middle") < F.col("cut"), F.col("hash"))).alias("last_hash"))
+    quota = F.when(F.col("cut") > 0, F.coalesce(F.col("cut_place") + 1, F.lit(blocks))).otherwise(0).cast("long")
+    ends = written(passes.join(limits, ["rank", "pass"], "left").withColumn("quota", quota))
+    earlier = Window.partitionBy("rank").orderBy("pass").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("first", F.coalesce(F.sum("quota").over(earlier), F.lit(0)))
+    of_source = ends.groupBy("source", "rank", "source_size", "target").agg(
+        F.array_sort(F.collect_list(F.struct("pass", "first", "quota", "cut_place", "last_hash"))).alias("passes"), F.sum("quota").alias("blocks")
     )
-    plan = written(of_source)
-    planned = rows.alias("r").join(plan.alias("s"), F.expr("r.source <=> s.source"), "left").select("r.*", "s.source_size", "s.target", "s.passes", "s.n_blocks", "s.ends", "s.rank")
-    planned = planned.withColumn("taken", F.filter("passes", lambda p: (F.col("block") < p.cut_block) | ((F.col("block") == p.cut_block) & (F.col("hash") <= p.last_hash))))
+    of_source = written(of_source)
+    plan = written(of_source.join(splitting_tree(of_source.select("rank", "blocks"), shards, seed), "rank", "left"))
+    planned = rows.alias("r").join(plan.alias("s"), F.expr("r.source <=> s.source"), "left").select("r.*", "s.source_size", "s.target", "s.passes", "s.blocks", "s.ends", "s.rank").withColumn("place", place)
+    leaf = lambda index: F.size(F.filter("ends", lambda e: e <= index))
+
+    def held(p: Column) -> Column:
+        """Whether the row's block is in the quota that the leaves share out, and the row before its cut."""
+        uncut = F.col("place") + 1 < p["quota"]
+        return (leaf(p["first"] + F.col("place")) < shards) & (uncut | ((F.col("place") + 1 == p["quota"]) & (p["cut_place"].isNull() | (F.col("hash") <= p["last_hash"]))))
+
+    planned = planned.withColumn("taken", F.filter("passes", held))
     change = one_change(planned.select("source", "target", "hash", "size", F.size("taken").alias("copies")), most)
     joined = planned.alias("p").join(change.alias("c"), F.expr("p.source <=> c.source"), "left").select("p.*", F.when(F.col("p.hash") == F.col("c.hash"), F.col("c.sign")).otherwise(0).alias("sign"))
     passes_taken = F.when(F.col("sign") < 0, F.slice("taken", 1, F.greatest(F.size("taken") - 1, F.lit(0)))).when(F.col("sign") > 0, F.slice("passes", 1, F.size("taken") + 1)).otherwise(F.col("taken"))
-
-    def shard(p: Column) -> Column:
-        slot = F.pmod((p["pass"] * F.lit(blocks) + F.col("block")) * F.lit(STRIDE) + F.col("rank") * F.lit(7919), F.col("n_blocks"))
-        return F.size(F.filter("ends", lambda e: e <= slot))
-
-    return joined.withColumn("shards", F.transform(passes_taken, shard)).withColumn("copies", F.size("shards")).drop("passes", "taken", "sign", "n_blocks", "ends", "rank", "block")
+    # the one row that is taken beside the quota goes to the leaf of its place in the run of all blocks
+    shard = lambda p: F.least(F.lit(shards - 1), leaf(F.pmod(p["first"] + F.col("place"), F.greatest(F.col("blocks"), F.lit(1)))))
+    out = joined.withColumn("shards", F.transform(passes_taken, shard)).withColumn("copies", F.size("shards"))
+    return out.drop("passes", "taken", "sign", "blocks", "ends", "rank", "block", "place")
 
 
 def one_change(planned: DataFrame, most: int) -> DataFrame:
@@ -164,8 +179,7 @@ def one_change(planned: DataFrame, most: int) -> DataFrame:
     nearest to the target, if any does.  Of all rows one is left a source, so this is a minimum."""
     got = planned.groupBy("source", "target").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
     need = written(got.select("source", (F.col("target") - F.col("got")).alias("need")))
-    alike = planned.groupBy("source", "hash", "copies").agg(F.sum("size").alias("size")).where("size > 0")
-    each = alike.alias("a").join(need.alias("n"), F.expr("a.source <=> n.source")).select("a.source", "a.hash", "a.copies", "a.size", "n.need")
+    each = planned.where("size > 0").alias("a").join(need.alias("n"), F.expr("a.source <=> n.source")).select("a.source", "a.hash", "a.copies", "a.size", "n.need")
     sign = F.when((F.col("need") > 0) & (F.col("copies") < most), 1).when((F.col("need") < 0) & (F.col("copies") > 0), -1)
     left = F.abs(F.col("need") - F.col("sign") * F.col("size"))
     better = each.withColumn("sign", sign).withColumn("left", left).where(F.col("left") < F.abs("need"))
@@ -173,23 +187,59 @@ def one_change(planned: DataFrame, most: int) -> DataFrame:
     return written(best.select("source", "best.hash", "best.sign"))
 
 
-def row_hash(seed: int, *columns: Column) -> Column:
-    return F.xxhash64(F.lit(seed), *columns)
+def row_hash(seed: int, doc_id: Column, text: Column) -> Column:
+    """64 bits of an md5, which other engines have too."""
+    parts = [F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("-")), F.coalesce(text, F.lit(""))]
+    return hash64(F.md5(F.concat_ws("|", *parts).cast("binary")))
+
+
+def distinct_hashes(rows: DataFrame) -> DataFrame:
+    """Written rows (hash, __row, ...) with a hash each: the first of those alike keeps theirs, others get
+    one of hash and number."""
+    own = hash64(F.md5(F.concat(F.hex("hash"), F.lit(":"), F.col("__number").cast("string")).cast("binary")))
+    return numbered(rows, "hash").withColumn("hash", F.when(F.col("__number") == 0, F.col("hash")).otherwise(own)).drop("__number", "__row")
 
 
 def mix(docs: DataFrame, weights: list[int], share: float = 1.5, most: int = 2, shards: int = 8, seed: int = 7) -> DataFrame:
     """The mixed documents: every row as often as it is taken, with ``mix_shard``, shuffled inside
     each shard (sorted by a hash in its partition).  Other columns stay as they are."""
-    names = [f"`{c}`" for c in docs.columns]
+    names = [f"`{c}`" for c in docs.columns if c != "mix_shard"]
     rows = docs.select(F.struct(*names).alias("row"), F.col("source"), word_count().alias("size"), row_hash(seed, F.col("doc_id"), F.col("text")).alias("hash"))
-    light = written(rows.select("source", "size", "hash"))
-    plan = mix_plan(light, weights, share, most, shards, seed).groupBy("hash").agg(F.first("shards").alias("shards"))
-    copies = rows.join(plan, "hash").select("row", "hash", F.posexplode("shards").alias("copy", "mix_shard"))
+    light = written(rows.select("source", "size", "hash", F.monotonically_increasing_id().alias("__row")))
+    repeated = written(light.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
+    n, whole = repeated.count(), rows.select("row", "hash")
+    if n:
+        some = F.broadcast(repeated) if n <= FEW else repeated
+        many = written(whole.join(some, "hash", "left_semi").withColumn("__row", F.monotonically_increasing_id()))
+        whole = whole.join(some, "hash", "left_anti").select("row", "hash").unionByName(distinct_hashes(many).select("row", "hash"))
+    plan = mix_plan(written(distinct_hashes(light)), weights, share, most, shards, seed).where("copies > 0").select("hash", "shards")
+    copies = whole.join(plan, "hash").select("row", "hash", F.posexplode("shards").alias("copy", "mix_shard"))
     return copies.withColumn("order", F.xxhash64("hash", "copy", F.lit(seed))).sortWithinPartitions("mix_shard", "order").select("row.*", "mix_shard")
 
 
 def op8_splitting_tree_mix(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = written(docs.select("doc_id", "source", word_count().alias("size"), row_hash(7, F.col("doc_id"), F.col("text")).alias("hash")))
-    plan = mix_plan(rows, [3, 1, 2], 1.5, 2, 8, 7)
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "shards")
+    light = docs.select("doc_id", "source", word_count().alias("size"), row_hash(7, F.col("doc_id"), F.col("text")).alias("hash"), F.monotonically_increasing_id().alias("__row"))
+    plan = mix_plan(written(distinct_hashes(written(light))), [3, 1, 2], 1.5, 2, 8, 7)
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+OP8_SQL = r"""
+WITH r0 AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '')) AS size,
+  ('0x' || substr(md5('7|' || coalesce(doc_id::VARCHAR, '-') || '|' || coalesce(text, '')), 1, 16))::UBIGINT AS h0 FROM documents),
+r1 AS (SELECT *, row_number() OVER (PARTITION BY h0) - 1 AS nr FROM r0),
+r AS MATERIALIZED (SELECT doc_id, source, size, h, h >> 52 AS block FROM (SELECT *, CASE WHEN nr = 0 THEN h0 ELSE ('0x' || substr(md5(printf('%X', h0) || ':' || nr), 1, 16))::UBIGINT END AS h FROM r1)),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM r GROUP BY source),
+b AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][(rank - 1) % 3 + 1] AS weight, source_size * 2.0::DOUBLE AS bound FROM s),
+l AS (SELECT *, (least((SELECT sum(source_size) FROM s) * 1.5::DOUBLE, (SELECT sum(bound) FROM b)) - coalesce(sum(bound) OVER (ORDER BY bound / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (ORDER BY bound / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM b),
+g AS MATERIALIZED (SELECT source, rank, source_size, least(bound, coalesce((SELECT max(level) FROM l WHERE level <= bound / weight), bound / weight) * weight) AS target FROM l),
+o AS (SELECT r.*, g.rank, source_size, target, (block * 1000003 + g.rank * 7919) % 4096 AS place FROM r JOIN g ON g.source IS NOT DISTINCT FROM r.source),
+m AS MATERIALIZED (SELECT *, coalesce(sum(size) OVER (PARTITION BY rank ORDER BY place, h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS middle FROM o),
+c AS MATERIALIZED (SELECT *, (target > 0 AND middle < target)::INT + (target > source_size AND middle < target - source_size)::INT AS copies FROM m),
+need AS (SELECT rank, any_value(target) - sum(copies * size)::BIGINT AS need FROM c GROUP BY rank),
+e AS (SELECT rank, h, need, size, CASE WHEN need > 0 AND copies < 2 THEN 1 WHEN need < 0 AND copies > 0 THEN -1 END AS sign FROM c JOIN need USING (rank) WHERE size > 0),
+x AS (SELECT rank, h, sign FROM e WHERE abs(need - sign * size) < abs(need) QUALIFY row_number() OVER (PARTITION BY rank ORDER BY abs(need - sign * size), h >= 9223372036854775808 DESC, h, sign) = 1)
+SELECT doc_id, size::BIGINT AS size, source_size, target, ((copies + coalesce(sign, 0)) * size)::BIGINT AS taken, (copies + coalesce(sign, 0))::INT AS copies FROM c LEFT JOIN x ON x.rank = c.rank AND x.h = c.h
+"""

@@ -24,5 +24,6 @@ ORACLES: dict[str, str] = {
     "op4_levelled_line_dedup": lines.OP4_SQL,
     "op5_setsketch": setsketch.OP5_SQL,
     "op7_imatch": imatch.OP7_SQL,
+    "op8_splitting_tree_mix": mixing.OP8_SQL,
     "op10_license_scan": licenses.OP10_SQL,
 }

@@ -522,7 +522,8 @@ def test_mix_targets_and_sums(spark, docs):
     rng = random.Random(10)
     odd = spark.createDataFrame([(i, " ".join(["w"] * rng.randint(0, 30)), rng.choice([None, "", "a", "a", "a", "b", "é", "z"])) for i in range(900)], "doc_id long, text string, source string")
     for df in (odd, docs.select("doc_id", "text", "source")):
-        rows = df.select("doc_id", "source", mixing.word_count().alias("size"), mixing.row_hash(7, F.col("doc_id"), F.col("text")).alias("hash"))
+        light = df.select("doc_id", "source", mixing.word_count().alias("size"), mixing.row_hash(7, F.col("doc_id"), F.col("text")).alias("hash"), F.monotonically_increasing_id().alias("__row"))
+        rows = shared.written(mixing.distinct_hashes(shared.written(light)))
         got = mixing.mix_plan(rows, [3, 1, 2], 1.5, 2, 8, 7).collect()
         assert len(got) == df.count()
         sizes, taken, largest = {}, {}, {}
@@ -539,6 +540,25 @@ def test_mix_targets_and_sums(spark, docs):
         assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_mix_of_repeated_rows(spark):
+    """Rows alike in doc_id and text are taken one by one, so a source of copies meets its target."""
+    rows = [(1, "w " * 20, "a")] * 100 + [(i, "w " * 10, "b") for i in range(300)] + [(5, None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("mix_shard", F.lit("clash")).withColumn("hash", F.lit(1)).repartition(7)
+    got = mixing.mix(df, [3, 1, 2]).collect()
+    want = brute_targets({"a": 2000, "b": 3000, None: 0}, [3, 1, 2], 1.5, 2)
+    for s, size in (("a", 20), ("b", 10)):
+        assert abs(sum(r.source == s for r in got) * size - want[s]) <= size / 2
+    assert list(got[0].asDict()) == ["doc_id", "text", "source", "hash", "mix_shard"] and {r.mix_shard for r in got} == set(range(8)) and {r.hash for r in got} == {1}
+    counts = lambda rows: sorted(Counter(r.source for r in rows).items())
+    assert counts(mixing.mix(df.coalesce(1), [3, 1, 2]).collect()) == counts(got)
+
+
+def test_too_many_sources(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
+    with pytest.raises(ValueError, match="sources"):
+        mixing.mix(docs, [1])
+
+
 def test_hypergeometric_draws(spark):
     draws = spark.range(4000).selectExpr(f"{mixing.hypergeometric('30L', '70L', '20L', '((id + 0.5D) / 4000)')} as x").toPandas().x
     assert draws.mean() == pytest.approx(6, abs=0.02) and draws.var() == pytest.approx(20 * 0.3 * 0.7 * 80 / 99, abs=0.05)
