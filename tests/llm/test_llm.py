@@ -592,7 +592,7 @@ def test_gradient_of_the_network():
     rng = np.random.default_rng(11)
     net.weights[3] = rng.normal(0, 0.3, net.weights[3].shape).astype(np.float32)
     ids = [np.array([3, 7, 40, 1, 0]), np.array([], int), np.array([5])]
-    tokens, near = net.around(ids)
+    ((tokens, near),) = net.around(ids)
     assert tokens.tolist() == [3, 7, 40, 1, 0, 5] and near[0].tolist() == [41, 41, 7, 40] and near[-1].tolist() == [41] * 4
     total = lambda: net.log_probability(tokens, near, net.tables()).mean()
     before, old = total(), [w.copy() for w in net.weights]
@@ -630,12 +630,14 @@ def test_pseudo_likelihood_learns(spark):
     assert by[1].log_likelihood == pytest.approx(by[1].per_token * by[1].n_tokens) and len(got) == len(odd)
 
 
-def test_every_token_is_trained_on_once():
+def test_every_token_is_trained_on_once(monkeypatch):
     texts = [" ".join(f"w{i * 50 + j}" for j in range(i % 7 * 9)) for i in range(60)]
     words = np.unique(np.concatenate(list(shingles.word_hashes([t.encode() for t in texts]))))
     net = pseudo_lm.Network(pseudo_lm.Lexicon(words, np.ones(len(words)), len(words)))
-    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at : at + 25])], ["text"]) for at in range(0, 60, 25)]
-    turn = lambda *a: [t for tokens, _ in pseudo_lm._chosen(net, iter(batches), *a) for t in tokens.tolist()]
+    ids = [net.lexicon.ids(w).astype("<u2").tobytes() for w in shingles.word_hashes([t.encode() for t in texts])]
+    monkeypatch.setattr(pseudo_lm, "AT_ONCE", 70)
+    batches = [pa.RecordBatch.from_arrays([pa.array([1] * len(ids[at : at + 25]), pa.int32()), pa.array(ids[at : at + 25], pa.binary())], ["part", "ids"]) for at in range(0, 60, 25)]
+    turn = lambda *a: [t for _, groups in pseudo_lm.by_part(iter(batches)) for tokens, _ in pseudo_lm._chosen(net, groups, *a) for t in tokens.tolist()]
     assert sorted(turn()) == list(range(len(words)))
     assert sorted(x for i in range(pseudo_lm.ROUNDS) for x in turn(i, pseudo_lm.ROUNDS)) == list(range(len(words)))
 
@@ -647,7 +649,59 @@ def test_words_outside_the_vocabulary_cost_by_their_counts(spark, monkeypatch):
     net = pseudo_lm.train(df)
     probe = spark.createDataFrame([(1, "often"), (2, "once"), (3, "never"), (4, "once often")], "doc_id long, text string")
     got = {r.doc_id: r.log_likelihood for r in pseudo_lm.score(probe, net).collect()}
-    assert got[1] - got[2] == pytest.approx(np.log(50)) and got[2] - got[3] == pytest.approx(pseudo_lm.UNSEEN - np.log(51))
+    assert got[1] - got[2] == pytest.approx(np.log(50)) and got[2] - got[3] == pytest.approx(np.log(1 / pseudo_lm.UNSEEN))
+
+
+def test_scores_against_brute_force_and_layouts(spark, monkeypatch):
+    """Every probability anew, word by word; they add up to one; and weights don't follow the layout."""
+    monkeypatch.setattr(pseudo_lm, "VOCABULARY", 30)
+    monkeypatch.setattr(pseudo_lm, "PART", 900)
+    rng = random.Random(13)
+    texts = [" ".join(f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(rng.randrange(40))) for _ in range(150)] + ["w1 w2 w3"] * 9
+    df = spark.createDataFrame([(i % 150, t, {"k": 1}) for i, t in enumerate(texts)], "doc_id long, text string, extra map<string,int>")
+    nets = [pseudo_lm.train(df.repartition(n)) for n in (1, 7)]
+    assert all(np.array_equal(a, b) for a, b in zip(nets[0].weights, nets[1].weights, strict=True))
+    net, lex = nets[0], nets[0].lexicon
+    counts = Counter(w for t in texts for w in t.split())
+    place = {w: int(lex.ids(next(iter(shingles.word_hashes([w.encode()]))))[0]) for w in [*counts, "unheard"]}
+    emb, mix, bias, out, prior = (w.astype(float) for w in net.weights)
+    n, rest = len(lex.words), sum(c for w, c in counts.items() if place[w] == len(lex.words))
+    assert n == 30 and rest == lex.others()
+
+    def logits_of(around):
+        hidden = bias + sum(emb[place[w] if w else n + 1] @ mix[i * pseudo_lm.WIDTH : (i + 1) * pseudo_lm.WIDTH] for i, w in enumerate(around))
+        return np.tanh(hidden) @ out + prior
+
+    def log_p(word, around):
+        logits, c = logits_of(around), lex.classes[place[word]]
+        mates = sum(counts[w] for w in counts if place[w] < n and lex.classes[place[w]] == c) if place[word] < n else rest + pseudo_lm.UNSEEN
+        return logits[c] - np.log(np.exp(logits).sum()) + np.log(counts.get(word, pseudo_lm.UNSEEN) / mates)
+
+    around = [None, "w1", "w50", "unheard"]
+    empty = sorted({*range(pseudo_lm.CLASSES)} - {*lex.classes.tolist()})  # fewer words than classes here
+    spare = np.exp(logits_of(around)[empty]).sum() / np.exp(logits_of(around)).sum()
+    assert sum(np.exp(log_p(w, around)) for w in place) + spare == pytest.approx(1, abs=1e-4)
+    asked = [*texts[:25], "w1 unheard w2", None]
+    got = {r.i: r for r in pseudo_lm.score(spark.createDataFrame(list(enumerate(asked)), "i int, text string").repartition(3), net).collect()}
+    for i, t in enumerate(asked):
+        w = (t or "").split()
+        pad = [None, None, *w, None, None]
+        want = sum(log_p(x, [pad[j], pad[j + 1], pad[j + 3], pad[j + 4]]) for j, x in enumerate(w))
+        assert got[i].n_tokens == len(w) and got[i].log_likelihood == pytest.approx(want, rel=1e-4, abs=1e-4) and got[i].text == t
+
+
+def test_weights_are_averaged_in_a_tree(spark):
+    rows = [(i, 1 + i % 5, np.full(3, i, "<f4").tobytes()) for i in range(300)]
+    got = pseudo_lm.averaged(spark.createDataFrame(rows, pseudo_lm.RESULT))
+    assert got == pytest.approx(np.full(3, sum(i * n for i, n, _ in rows) / sum(n for _, n, _ in rows)), rel=1e-5)
+
+
+def test_pseudo_likelihood_awkward(spark, awkward, monkeypatch):
+    monkeypatch.setattr(pseudo_lm, "AT_ONCE", 5_000)  # the long text has 90,000 words
+    net, table = pseudo_lm.train_coded(awkward)
+    got = {r.score: r for r in pseudo_lm.score_coded(table, net).collect()}
+    assert {i: r.n_tokens for i, r in got.items()} == {i: len(words) for i, row in enumerate(AWKWARD) for words in [re.findall(r"[^\x20\x09-\x0D]+", row[1] or "")]}
+    assert all((r.per_token is None) == (r.n_tokens == 0) for r in got.values())
 
 
 def test_pseudo_likelihood_empty(spark, empty):
