@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -60,3 +61,19 @@ def similarity(kind: str, a: Column, b: Column) -> Column:
             yield pd.Series([None if p is None or q is None else measure(p, q) / 100 for p, q in zip(x, y, strict=True)], dtype="float64")
 
     return run(a, b)
+
+
+#: The four ratios of a pair of records.
+RATIOS = ["name_ratio", "name_token_set", "translit_ratio", "addr_ratio"]
+
+
+@F.pandas_udf(StructType([StructField(r, DoubleType()) for r in RATIOS]))
+def similarities(a: pd.Series, b: pd.Series, core_a: pd.Series, core_b: pd.Series, new_a: pd.Series, new_b: pd.Series, where_a: pd.Series, where_b: pd.Series) -> pd.DataFrame:
+    """The four ratios of two records, over 100, in one go: of the folded names, the cores' token sets, the
+    corrected names, and the sorted tokens of the addresses (0 where either is null)."""
+    rows = []
+    for x, y, cx, cy, nx, ny, wx, wy in zip(a, b, core_a, core_b, new_a, new_b, where_a, where_b, strict=True):
+        whole = 100.0 if x == y else ratio(x, y)
+        new = whole if (nx, ny) == (x, y) else 100.0 if nx == ny else ratio(nx, ny)
+        rows.append((whole / 100, (100.0 if cx == cy and cx else token_set_ratio(cx, cy)) / 100, new / 100, 0.0 if wx is None or wy is None else 1.0 if wx == wy else token_sort_ratio(wx, wy) / 100))
+    return pd.DataFrame(rows, columns=RATIOS, dtype="float64")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions.similarity import similarity
+from kinfold.functions.similarity import RATIOS, similarities
 from kinfold.functions.text import address_parts, tokens
 from kinfold.operators.fuse import CHANNELS
 
@@ -19,7 +19,6 @@ FEATURES = [
     "numeric_overlap", "numeric_conflict", "landmark_overlap", "addr_missing", "name_length_ratio", "country_equal", "cross_script", "indic_fraction", "source3", "channels",
     "retrieved_exact", "retrieved_char", "retrieved_rare", "retrieved_translit", "retrieved_address", "retrieved_minhash_name", "retrieved_minhash_joint", "rrf",
 ]
-RATIOS = ["name_ratio", "name_token_set", "translit_ratio", "addr_ratio"]
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -38,29 +37,34 @@ def prepared(records: DataFrame) -> DataFrame:
     return parts.select("rid", F.struct(*fields).alias("r"))
 
 
-def rare_overlap(pairs: DataFrame, table: DataFrame) -> DataFrame:
-    """(q, t, rare_overlap): shared over all idf of the words of (q, t, a.words, b.words).
-
-    Sums over words are joins on the word, so the idf table may be of any size.
-    """
+def word_weights(records: DataFrame, table: DataFrame) -> DataFrame:
+    """(rid, weights): the idf of each of a record's words.  The join with the idf table, which may be of
+    any size, is over the records' words, not over those of the pairs."""
     unseen = table.where("term is null").select(F.col("idf").alias("unseen"))
-    words = pairs.select("q", "t", F.explode(F.array_union("a.words", "b.words")).alias("term"), F.col("a.words").alias("aw"), F.col("b.words").alias("bw"))
-    words = words.select("q", "t", "term", (F.array_contains("aw", F.col("term")) & F.array_contains("bw", F.col("term"))).alias("both"))
+    words = records.select("rid", F.explode(F.array_distinct(tokens(F.col("name.core")))).alias("term"))
     known = words.join(table.where("term is not null"), "term", "left").join(F.broadcast(unseen))
-    weight = F.coalesce("idf", "unseen")
-    return known.groupBy("q", "t").agg((F.sum(F.when(F.col("both"), weight).otherwise(0.0)) / F.greatest(F.sum(weight), F.lit(1e-8))).alias("rare_overlap"))
+    return known.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("term", F.coalesce("idf", "unseen").alias("idf")))).alias("weights"))
+
+
+def rare_overlap(a: Column, b: Column) -> Column:
+    """Shared over all idf of two maps from words to idf."""
+    total = lambda m: F.aggregate(F.map_values(m), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
+    shared = total(F.map_zip_with(a, b, lambda _, x, y: F.when(y.isNotNull(), x)))
+    both = F.coalesce(total(a), F.lit(0.0)) + F.coalesce(total(b), F.lit(0.0)) - F.coalesce(shared, F.lit(0.0))
+    return F.coalesce(shared, F.lit(0.0)) / F.greatest(both, F.lit(1e-8))
 
 
-def with_records(candidates: DataFrame, records: DataFrame) -> DataFrame:
+def with_records(candidates: DataFrame, records: DataFrame, table: DataFrame) -> DataFrame:
     """Candidates with the query's struct ``a`` and the target's ``b``."""
-    r = prepared(records)
+    r = prepared(records).join(word_weights(records, table), "rid", "left")
+    r = r.select("rid", F.col("r").withField("weights", F.col("weights")).alias("r"))
     queries = r.where("r.source = 1").select(F.col("rid").alias("q"), F.col("r").alias("a"))
     return candidates.join(queries, "q").join(r.where("r.source <> 1").select(F.col("rid").alias("t"), F.col("r").alias("b")), "t")
 
 
 def pair_features(candidates: DataFrame, records: DataFrame, table: DataFrame, ratios: bool = True) -> DataFrame:
     """(q, t, features...) of candidates (q, t, mask, rrf); without ``ratios``, all but RATIOS."""
-    pairs = with_records(candidates.select("q", "t", "mask", "rrf"), records)
+    pairs = with_records(candidates.select("q", "t", "mask", "rrf"), records, table)
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     missing = ~F.col("a.has") | ~F.col("b.has")
     longest = F.greatest(F.length("a.core"), F.length("b.core"), F.lit(1))
@@ -69,6 +73,7 @@ def pair_features(candidates: DataFrame, records: DataFrame, table: DataFrame, r
     made = {
         "name_exact": flag((F.col("a.folded") == F.col("b.folded")) & any_words),
         "core_exact": flag((F.col("a.core") == F.col("b.core")) & any_words),
+        "rare_overlap": rare_overlap(F.col("a.weights"), F.col("b.weights")),
         "name_jaccard": jaccard(F.col("a.words"), F.col("b.words")),
         "legal_equal": flag((F.col("a.legal") != "") & (F.col("a.legal") == F.col("b.legal"))),
         "addr_jaccard": F.when(missing, 0.0).otherwise(jaccard(F.col("a.address_words"), F.col("b.address_words"))),
@@ -85,12 +90,9 @@ def pair_features(candidates: DataFrame, records: DataFrame, table: DataFrame, r
         **{f"retrieved_{c}": F.shiftright("mask", bit).bitwiseAND(F.lit(1)).cast("double") for c, bit in CHANNELS.items()},
     }
     if ratios:
-        made |= {
-            "name_ratio": similarity("ratio", F.col("a.folded"), F.col("b.folded")),
-            "name_token_set": similarity("token_set", F.col("a.core"), F.col("b.core")),
-            "translit_ratio": similarity("ratio", F.col("a.corrected"), F.col("b.corrected")),
-            "addr_ratio": F.coalesce(similarity("token_sort", F.when(~missing, F.col("a.address")), F.col("b.address")), F.lit(0.0)),
-        }
+        address = lambda x: F.when(~missing, F.col(f"{x}.address"))
+        measured = similarities(*[F.col(f"{x}.{f}") for f in ("folded", "core", "corrected") for x in "ab"], address("a"), address("b"))
+        pairs = pairs.withColumn("ratios", measured)
+        made |= {r: F.col(f"ratios.{r}") for r in RATIOS}
     names = [f for f in FEATURES if ratios or f not in RATIOS]
-    joined = pairs.select("q", "t", "rrf", *[c.alias(k) for k, c in made.items()]).join(rare_overlap(pairs, table), ["q", "t"], "left").fillna(0.0, ["rare_overlap"])
-    return joined.select("q", "t", *names)
+    return pairs.select("q", "t", *[(F.col(n) if n == "rrf" else made[n]).alias(n) for n in names])

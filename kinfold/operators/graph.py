@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinfold.operators.store import saved
+
 #: Upper bounds, in hundredths, of the splits.
 SPLITS = [(60, "fit"), (65, "stop"), (75, "cal_fit"), (80, "cal_select"), (90, "tune"), (100, "final")]
 
@@ -16,15 +16,6 @@ def hashed(c: Column) -> Column:
     return F.conv(F.substring(F.md5(c.cast("string").cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the session's shared folder; a folder of our own only where none is set."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="kinfold-"))
-    return df.checkpoint()
-
-
 def query_components(queries: DataFrame, truth: DataFrame, rounds: int = 50) -> DataFrame:
     """(q, component): the smallest q connected with q over shared targets.
 
@@ -72,5 +63,3 @@ def sample_candidates(candidates: DataFrame, truth: DataFrame, hard: int = 5, ea
 
 def pair_groups(pairs: DataFrame, splits: DataFrame) -> DataFrame:
     return pairs.join(splits.select("q", "component"), "q")
-
-

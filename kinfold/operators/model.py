@@ -14,18 +14,22 @@ from kinfold.operators.features import FEATURES
 from kinfold.operators.graph import hashed
 
 
+#: Trees, their step and records a leaf at least, and trees of the models out of fold.
+TREES, STEP, LEAF, FOLD_TREES = 600, 0.05, 80, 250
+
+
 def require_both(rows: DataFrame, label: str = "y") -> None:
     if rows.select(label).distinct().count() < 2:
         raise ValueError("both classes are needed")
 
 
-def train_model(rows: DataFrame, stop: DataFrame | None, trees: int = 60, features: list[str] = FEATURES) -> PipelineModel:
+def train_model(rows: DataFrame, stop: DataFrame | None, trees: int = TREES, features: list[str] = FEATURES, step: float = STEP, leaf: int = LEAF) -> PipelineModel:
     """Boosted trees on (features..., y); the loss on ``stop``, if given, ends the boosting."""
     require_both(rows)
     part = lambda df, held: df.select(*features, F.col("y").cast("double").alias("y"), F.lit(held).alias("held"))
     both = part(rows, False) if stop is None else part(rows, False).unionByName(part(stop, True))
     assembler = VectorAssembler(inputCols=features, outputCol="x")
-    maker = GBTClassifier(featuresCol="x", labelCol="y", maxIter=trees, stepSize=0.05 if trees > 100 else 0.2, maxDepth=5, maxBins=127, minInstancesPerNode=20, featureSubsetStrategy="0.9", seed=42)
+    maker = GBTClassifier(featuresCol="x", labelCol="y", maxIter=trees, stepSize=step, maxDepth=5, maxBins=127, minInstancesPerNode=leaf, featureSubsetStrategy="0.9", seed=42)
     if stop is not None:
         maker = maker.setValidationIndicatorCol("held").setParams(validationTol=0.001)
     return PipelineModel([assembler, maker.fit(assembler.transform(both))])
@@ -91,14 +95,14 @@ def choose_calibrator(fit: DataFrame, select: DataFrame) -> tuple[Calibrator, di
     return min(made, key=lambda c: (losses[c.kind], c.kind != "platt")), losses
 
 
-def grouped_oof(rows: DataFrame, folds: int = 3, trees: int = 20, features: list[str] = FEATURES) -> DataFrame:
+def grouped_oof(rows: DataFrame, folds: int = 3, trees: int = FOLD_TREES, features: list[str] = FEATURES, step: float = STEP, leaf: int = LEAF) -> DataFrame:
     """``rows`` with p from models that saw no row of the same component."""
     fold = F.pmod(hashed(F.col("component")), F.lit(folds))
     parts = rows.withColumn("fold", fold)
     out = None
     for f in range(folds):
         train = parts.where(F.col("fold") != f)
-        one = predict(train_model(train, None, trees, features), parts.where(F.col("fold") == f))
+        one = predict(train_model(train, None, trees, features, step, leaf), parts.where(F.col("fold") == f))
         out = one if out is None else out.unionByName(one)
     return out.drop("fold")
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.functions import text as T
 from kinfold.functions.indic import transliterated
+from kinfold.operators.store import saved
 
 #: Longest text and id that are taken.
 TEXT_LIMIT, ID_LIMIT = 4096, 128
@@ -22,8 +23,21 @@ SOURCE_STEP = 1 << 48
 
 
 def number(rows: DataFrame, source: int) -> DataFrame:
-    """Adds ``rid`` in the order of the rows as they are read."""
-    return rows.withColumn("rid", F.lit(source * SOURCE_STEP) + F.monotonically_increasing_id())
+    """Adds ``rid`` in the order of the rows: from ``row``, a row's place in its source, or if the rows
+    have none, in the order of entity_id.  Neither follows how the rows are dealt to partitions."""
+    if "row" not in rows.columns:
+        rows = placed(rows.orderBy("entity_id").withColumn("block", F.lit(0)).withColumn("at", F.monotonically_increasing_id()), by_partition=True)
+    return rows.withColumn("rid", F.lit(source * SOURCE_STEP) + F.col("row")).drop("row")
+
+
+def placed(rows: DataFrame, by_partition: bool = False) -> DataFrame:
+    """``row``, from 0, of rows with (block, at): blocks in order, and inside a block the rows in order of
+    ``at``, increasing numbers of one partition.  Blocks are counted, rows aren't sorted."""
+    rows = saved(rows.withColumn("block", F.shiftright("at", 33)) if by_partition else rows)
+    blocks = rows.groupBy("block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row a block of a file
+    starts = blocks.select("block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return rows.join(F.broadcast(starts), "block").withColumn("row", F.col("start") + F.col("at") - F.col("first")).drop("block", "at", "first", "start")
 
 
 def normalise(rows: DataFrame, source: int, rules: dict[str, str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -13,6 +14,8 @@ from kinfold.operators.index import Index, routes, top_k
 
 #: Hashes of a sketch, and its bands and rows: the even split that suits a similarity of 0.4.
 HASHES, BANDS = 64, 16
+#: A prime (2**31 - 1), so that products stay within 64 bits.
+PRIME = 2_147_483_647
 BUCKET_LIMIT = 256
 
 
@@ -40,14 +43,25 @@ def exact_overflow(records: DataFrame, per_source: int = 20, verified: bool = Fa
     return exact_matches(records, per_source, verified).where(F.col("rank") > per_source).select("q").distinct()
 
 
+def factors() -> list[tuple[int, int]]:
+    """The HASHES functions x -> (a x + b) mod PRIME: a and b follow from the function's number by md5."""
+    return [(1 + int(d[:7], 16), int(d[7:14], 16)) for d in (hashlib.md5(f"sketch {i}".encode()).hexdigest() for i in range(HASHES))]
+
+
 def sketches(records: DataFrame, mode: str) -> DataFrame:
-    """(rid, country, source, words, bands): the words a mode compares and the band hashes."""
+    """(rid, country, source, words, bands): the words a mode compares and the band keys.
+
+    A word is a number below PRIME, from its md5; each function of ``factors`` keeps the least value over
+    the words, and a band's key is its rows' values and its number.
+    """
     words = tokens(F.col("name.core")) if mode == "name" else F.concat(tokens(F.col("name.core")), tokens(F.col("address.corrected")))
     rows = records.select("rid", "country", "source", F.array_distinct(words).alias("words")).where(F.size("words") > 0)
-    each = [F.array_min(F.transform("words", lambda w, i=i: F.xxhash64(F.lit(42 + i), w))) for i in range(HASHES)]
+    rows = rows.withColumn("x", F.transform("words", lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long") % PRIME))
+    known = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in factors()])
+    least = F.transform(known, lambda f: F.array_min(F.transform("x", lambda x: (x * f["a"] + f["b"]) % PRIME)))
     per = HASHES // BANDS
-    bands = F.array(*[F.xxhash64(F.lit(b), *[F.get("m", b * per + r) for r in range(per)]) for b in range(BANDS)])
-    return rows.withColumn("m", F.array(*each)).withColumn("bands", bands).drop("m")
+    key = lambda m: F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.concat_ws("-", b.cast("string"), F.transform(F.slice(m, b * per + 1, per), lambda v: v.cast("string"))))
+    return rows.withColumn("bands", F.get(F.transform(F.array(least), key), 0)).drop("x")
 
 
 def first_of_words(records: DataFrame, mode: str, k: int) -> DataFrame:
@@ -60,7 +74,8 @@ def first_of_words(records: DataFrame, mode: str, k: int) -> DataFrame:
 
 def minhash_index(records: DataFrame, mode: str, limit: int | None = BUCKET_LIMIT) -> tuple[DataFrame, DataFrame]:
     """((country, source, band, t), (t)): what is indexed, and what was left out because one of its
-    buckets was full.  ``name`` holds targets without an address, ``joint`` those with one."""
+    buckets held more targets: with a ``limit``, a target past it, by rid and with those left out counted
+    too, in any of its buckets.  ``name`` holds targets without an address, ``joint`` those with one."""
     if mode not in ("name", "joint"):
         raise ValueError(mode)
     targets = records.where(f"source in (2, 3) and missing = {int(mode == 'name')}")
@@ -92,20 +107,25 @@ def minhash_hits(records: DataFrame, mode: str, k: int = 10, verified: bool = Fa
     return ranked.select("q", "t", "source", F.lit(f"minhash_{mode}").alias("channel"), "score")
 
 
-def all_hits(records: DataFrame, channels: tuple[str, ...], verified: bool = False) -> DataFrame:
-    """The hits of the exact channel and of the named ones, before fusion."""
-    text = tuple(c for c in channels if not c.startswith("minhash_"))
+def text_channels(channels: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(c for c in channels if not c.startswith("minhash_"))
+
+
+def all_hits(records: DataFrame, channels: tuple[str, ...], verified: bool = False, index: Index | None = None) -> DataFrame:
+    """The hits of the exact channel and of the named ones, before fusion.  An ``index`` over the same
+    targets and channels, a saved one say, is used as it is."""
+    text = text_channels(channels)
     queries = records.where("source = 1")
     hits = [exact_hits(records, BUDGETS["exact"], verified)]
     if text:
-        hits.append(top_k(queries, Index(records, text), BUDGETS, verified))
+        hits.append(top_k(queries, index or Index(records, text), BUDGETS, verified))
     hits += [minhash_hits(records, c.removeprefix("minhash_"), BUDGETS[c], verified) for c in channels if c.startswith("minhash_")]
     return reduce(DataFrame.unionByName, hits)
 
 
-def retrieve(records: DataFrame, channels: tuple[str, ...], k: int = 60, verified: bool = False) -> DataFrame:
+def retrieve(records: DataFrame, channels: tuple[str, ...], k: int = 60, verified: bool = False, index: Index | None = None) -> DataFrame:
     """Fused candidates (q, t, source, mask, rrf, position) of every query."""
-    return fuse(all_hits(records, channels, verified), k)
+    return fuse(all_hits(records, channels, verified, index), k)
 
 
-__all__ = ["all_hits", "exact_hits", "exact_matches", "exact_overflow", "minhash_hits", "minhash_index", "retrieve", "routes", "sketches"]
+__all__ = ["all_hits", "exact_hits", "exact_matches", "exact_overflow", "minhash_hits", "minhash_index", "retrieve", "routes", "sketches", "text_channels"]

@@ -86,9 +86,9 @@ hits AS MATERIALIZED (SELECT * FROM top UNION ALL SELECT q, t, source, 'exact',
 def _fuse(k: int, name: str) -> str:
     return f"""{name}_g AS (SELECT q, channel, source, t, max(score) AS score FROM hits GROUP BY ALL),
 {name}_r AS (SELECT *, row_number() OVER (PARTITION BY q, channel, source ORDER BY score DESC, t) AS rank FROM {name}_g
-  QUALIFY rank <= CASE channel WHEN 'exact' THEN 20 ELSE 10 END),
+  QUALIFY rank <= CASE channel WHEN 'exact' THEN 20 WHEN 'char' THEN 20 WHEN 'translit' THEN 15 ELSE 10 END),
 {name}_v AS (SELECT q, least(2, {k} // count(DISTINCT (channel, source))) AS cover FROM {name}_r GROUP BY q),
-{name}_c AS (SELECT q, t, any_value(source) AS source, round(sum(1.0::DOUBLE / (60 + rank)), 12) AS rrf, bit_or(1 << CASE channel WHEN 'exact' THEN 0 WHEN 'rare' THEN 2 ELSE 4 END) AS mask,
+{name}_c AS (SELECT q, t, any_value(source) AS source, round(sum(1.0::DOUBLE / (60 + rank)), 12) AS rrf, bit_or(1 << CASE channel WHEN 'exact' THEN 0 WHEN 'char' THEN 1 WHEN 'rare' THEN 2 WHEN 'translit' THEN 3 ELSE 4 END) AS mask,
   max((rank <= cover)::INT) AS res FROM {name}_r JOIN {name}_v USING (q) GROUP BY q, t),
 {name}_o AS (SELECT *, row_number() OVER o AS position, sum(res) OVER (PARTITION BY q) AS nres, sum(1 - res) OVER o AS npos FROM {name}_c WINDOW o AS (PARTITION BY q ORDER BY rrf DESC, bit_count(mask) DESC, t)),
 {name} AS MATERIALIZED (SELECT q, t, source, mask, rrf, position FROM {name}_o WHERE res = 1 OR npos <= {k} - nres)"""
@@ -159,6 +159,61 @@ FROM p LEFT JOIN ro USING (q, t)"""
 for _a, _b in (("aw", "bw"), ("aa", "ba"), ("anu", "bnu"), ("am", "bm")):
     _FEATURES = _FEATURES.replace(f"JAC({_a}, {_b})", f"CASE WHEN len({_a}) + len({_b}) = 0 THEN 0 ELSE len(list_intersect({_a}, {_b})) / len(list_distinct(list_concat({_a}, {_b}))) END")
 
+
+def _violations() -> str:
+    """The same faults put into lists of ids; each check counted on its own."""
+    ids = lambda p: f"SELECT u.q, r.eid, coalesce(x.ids, []) AS ids FROM universe u JOIN rec r ON r.rid = u.q LEFT JOIN (SELECT s.q, list(t.eid) AS ids FROM scored s JOIN rec t ON t.rid = s.t WHERE p >= {p} GROUP BY s.q) x USING (q)"
+    checks = {
+        "row in one file only": "SELECT count(*) FROM m FULL JOIN c ON m.eid = c.eid WHERE m.eid IS NULL OR c.eid IS NULL",
+        "repeated query": "SELECT count(*) FROM (SELECT eid FROM m GROUP BY eid HAVING count(*) > 1)",
+        "unknown query": "SELECT count(*) FROM m WHERE eid NOT IN (SELECT eid FROM rec WHERE source = 1)",
+        "missing query": "SELECT count(*) FROM rec WHERE source = 1 AND eid NOT IN (SELECT eid FROM m)",
+        "duplicate targets": "SELECT count(*) FROM m FULL JOIN c ON m.eid = c.eid WHERE len(list_distinct(m.ids)) < len(m.ids) OR len(list_distinct(c.ids)) < len(c.ids)",
+        "matches outside candidates": "SELECT count(*) FROM m JOIN c ON m.eid = c.eid WHERE NOT list_has_all(c.ids, m.ids)",
+        "unknown or wrong-source target": "SELECT count(*) FROM (SELECT unnest(ids) AS id FROM c) WHERE id NOT IN (SELECT eid FROM rec WHERE source > 1)",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{k}' AS \"check\", ({v}) AS violations" for k, v in checks.items())
+    return f"""WITH {_SCORED}, m0 AS ({ids(0.6)}), c0 AS ({ids(0.0)}),
+m1 AS (SELECT q, CASE WHEN q % 8 = 5 THEN eid || 'x' ELSE eid END AS eid, CASE WHEN q % 5 = 1 THEN list_append(ids, 'S1-1') WHEN q % 6 = 2 THEN list_concat(['S2-1', 'S2-1'], ids) ELSE ids END AS ids FROM m0 WHERE q % 7 <> 3),
+m AS MATERIALIZED (SELECT * FROM m1 UNION ALL SELECT * FROM m1 WHERE q % 9 = 4), c AS MATERIALIZED (SELECT eid, CASE WHEN q % 4 = 0 THEN list_append(ids, 'S4-1') ELSE ids END AS ids FROM c0) {rows}"""
+
+
+def _minhash(mode: str) -> str:
+    """Least values of 64 functions over the words' md5 numbers, in 16 bands of 4; of equal word sets the
+    first ten can be taken."""
+    words = f"list_distinct({_WORDS('core')})" if mode == "name" else f"list_distinct(list_concat({_WORDS('core')}, {_WORDS('address')}))"
+    number = lambda at: f"('0x' || substr(md5('sketch ' || i), {at}, 7))::BIGINT"
+    return f"""WITH {_REC}, r AS MATERIALIZED (SELECT rid, source, country, missing, {words} AS w FROM rec WHERE len({words}) > 0),
+f AS (SELECT i, 1 + {number(1)} AS a, {number(8)} AS b FROM range(64) t(i)),
+x AS (SELECT rid, ('0x' || substr(md5(word), 1, 8))::BIGINT % 2147483647 AS x FROM (SELECT rid, unnest(w) AS word FROM r)),
+least AS MATERIALIZED (SELECT rid, i, min((x * a + b) % 2147483647) AS m FROM x, f GROUP BY ALL),
+bands AS MATERIALIZED (SELECT rid, i // 4 AS b, list(m ORDER BY i) AS key FROM least GROUP BY ALL),
+t AS (SELECT * FROM r WHERE source > 1 AND missing = {int(mode == "name")} QUALIFY row_number() OVER (PARTITION BY country, source, list_sort(w) ORDER BY rid) <= 10),
+q AS (SELECT * FROM r WHERE source = 1{"" if mode == "name" else " AND missing = 0"}),
+met AS (SELECT DISTINCT q.rid AS q, t.rid AS t FROM q JOIN bands bq ON bq.rid = q.rid JOIN bands bt ON bt.b = bq.b AND bt.key = bq.key JOIN t ON t.rid = bt.rid),
+s AS (SELECT met.q, met.t, t.source, t.country, len(list_intersect(q.w, t.w)) / len(list_distinct(list_concat(q.w, t.w))) AS score FROM met JOIN q ON q.rid = met.q JOIN t ON t.rid = met.t)
+SELECT q, t, source, 'minhash_{mode}' AS channel, score FROM s QUALIFY row_number() OVER (PARTITION BY q, country, source ORDER BY score DESC, t) <= 10"""
+
+
+def _ratios() -> str:
+    """The string ratios by longest common subsequences, a row of the table at a time as the bits of a
+    128-bit number, joined to the other features; no string here is longer than 120 characters."""
+    words = lambda c: f"list_filter(string_split({c}, ' '), lambda x: x <> '')"
+    joined = lambda c: f"array_to_string(list_sort({c}), ' ')"
+    return f"""WITH native AS ({_FEATURES}),
+k AS MATERIALIZED (SELECT native.q, native.t, native.addr_missing, a.cons AS an, b.cons AS bn, a.core AS ac, b.core AS bc, a.address AS aa, b.address AS ba FROM native JOIN (WITH {_REC} SELECT * FROM rec) a ON a.rid = native.q JOIN (WITH {_REC} SELECT * FROM rec) b ON b.rid = native.t),
+w AS (SELECT *, list_distinct({words("ac")}) AS aw, list_distinct({words("bc")}) AS bw FROM k),
+p AS MATERIALIZED (SELECT *, {joined("list_intersect(aw, bw)")} AS s, {joined("list_filter(aw, lambda x: NOT list_contains(bw, x))")} AS oa, {joined("list_filter(bw, lambda x: NOT list_contains(aw, x))")} AS ob FROM w),
+pairs AS (SELECT q, t, 'name' AS kind, an AS x, bn AS y FROM p UNION ALL SELECT q, t, 'addr', {joined(words("aa"))}, {joined(words("ba"))} FROM p UNION ALL SELECT q, t, 'set1', trim(s || ' ' || oa), trim(s || ' ' || ob) FROM p
+  UNION ALL SELECT q, t, 'set2', s, trim(s || ' ' || oa) FROM p UNION ALL SELECT q, t, 'set3', s, trim(s || ' ' || ob) FROM p),
+masks AS (SELECT q, t, kind, length(x) AS nx, length(y) AS ny, (1::HUGEINT << length(x)) - 1 AS ones, list_transform(string_split(y, ''), lambda c: coalesce(list_sum(list_transform(range(1, length(x) + 1), lambda i: CASE WHEN x[i] = c THEN 1::HUGEINT << (i - 1)::INT ELSE 0::HUGEINT END)), 0)::HUGEINT) AS m FROM pairs),
+lcs AS (SELECT q, t, kind, nx, ny, CASE WHEN nx = 0 OR ny = 0 THEN 0 ELSE nx - bit_count(list_reduce(list_concat([ones], m), lambda v, u: ((v + (v & u)) | (v - (v & u))) & ones)) END AS n FROM masks),
+r AS (SELECT q, t, kind, CASE WHEN nx + ny = 0 THEN 1.0 ELSE 2 * n / (nx + ny) END AS r FROM lcs),
+z AS (SELECT q, t, max(r) FILTER (WHERE kind = 'name') AS nr, max(r) FILTER (WHERE kind = 'addr') AS ar, max(r) FILTER (WHERE kind = 'set1') AS s1, max(r) FILTER (WHERE kind IN ('set2', 'set3')) AS s2 FROM r GROUP BY q, t)
+SELECT native.*, round(nr, 6) AS name_ratio, round(CASE WHEN len(aw) = 0 OR len(bw) = 0 THEN 0 WHEN s <> '' AND (oa = '' OR ob = '') THEN 1 WHEN s <> '' THEN greatest(s1, s2) ELSE s1 END, 6) AS name_token_set, round(nr, 6) AS translit_ratio,
+  CASE WHEN native.addr_missing = 1 THEN 0 ELSE round(ar, 6) END AS addr_ratio FROM native JOIN z USING (q, t) JOIN p USING (q, t)"""
+
+
 _NOISES = {
     "leading_dash": r"n, '^\s*--+'", "leading_star": r"n, '^\s*\*{2,}'", "leading_angle": r"n, '^\s*<<+'", "address_hash": r"a, '^\s*##+'", "url": r"n, '(?i)(?:https?://|www\.)\S+'", "pipe": r"n, '\|'", "hashtag": r"n, '#\w'",
     "llc_repeat": r"n, '(?i)\bLLC(?:\s+LLC)+\b'", "pvt_repeat": r"n, '(?i)\bPvt(?:\s+Pvt)+\b'", "ltd_repeat": r"n, '(?i)\bLtd(?:\s+Ltd)+\b'", "private_repeat": r"n, '(?i)\bPrivate(?:\s+Private)+\b'",
@@ -177,7 +232,7 @@ SELECT rid, array_to_string(list_filter(w, lambda v, i: list_position(w, v) = i)
     "accent_fold": "SELECT doc_id, md5(strip_accents(text)) AS folded FROM documents",
     "script_profile": r"SELECT doc_id, CASE WHEN len(l) = 0 THEN 0 ELSE round(len(list_filter(l, lambda c: regexp_matches(c, '\p{Latin}'))) / len(l), 6) END AS latin, 0.0::DOUBLE AS indic FROM (SELECT doc_id, regexp_extract_all(text, '\p{L}') AS l FROM documents)",
     "char_grams": f"SELECT s_suppkey, array_to_string(list_sort({_grams('s_name')}), '|') AS grams FROM supplier",
-    "transliterate": "SELECT * FROM (VALUES (0, 'globala'), (1, 'kulopal'), (2, 'pavara'), (3, 'Sun pavara'), (4, 'plain')) v(i, latin)",
+    "transliterate": "SELECT p_partkey, ['globala', 'kulopal', 'pavara', 'Sun pavara', 'plain'][p_partkey % 5 + 1] || ' ' || p_partkey AS latin FROM part",
     "noise_counts": f"WITH {_REC} " + " UNION ALL ".join(f"SELECT '{k}' AS noise, count(*) FILTER (WHERE regexp_matches({v})) AS n FROM rec" for k, v in _NOISES.items()) + " UNION ALL SELECT 'unusable_after_clean', count(*) FILTER (WHERE address = '') FROM rec",
     "suffix_counts": f"WITH {_REC} SELECT suffix, count(*) AS n FROM (SELECT regexp_extract(cons, '[^ ]+$') AS suffix FROM rec WHERE source = 1) WHERE regexp_full_match(suffix, '{_LEGAL}') GROUP BY suffix",
     "ingest_records": f"WITH {_REC} SELECT rid, eid, source, country, core AS name_key, missing, address FROM rec",
@@ -208,22 +263,32 @@ SELECT count(*) AS queries, sum(candidates)::BIGINT AS pairs, round(avg({_ORACLE
 l AS (SELECT f.q, f.t, rrf, (tr.t IS NOT NULL)::INT AS y FROM fused f LEFT JOIN truth tr ON tr.q = f.q AND tr.t = f.t),
 h AS (SELECT *, row_number() OVER (PARTITION BY q, y ORDER BY rrf DESC, t) <= 5 AS hard FROM l)
 SELECT q, t, y FROM h QUALIFY y = 1 OR hard OR row_number() OVER (PARTITION BY q, y, hard ORDER BY {_HASH("'42:' || q || ':' || t")}, t) <= 5""",
-    "learn_spelling": "SELECT 'kulopal' AS x, 'global' AS y, count(*) AS n FROM part",
+    "learn_spelling": "SELECT CASE p_partkey % 3 WHEN 0 THEN 'kulopal' ELSE 'dilli' END AS x, CASE p_partkey % 3 WHEN 0 THEN 'global' ELSE 'delhi' END AS y, count(*) AS n FROM part WHERE p_partkey % 3 < 2 GROUP BY ALL",
+    "fetch_records": f"WITH {_REC} SELECT rid, eid, core AS name_key FROM rec WHERE source = 2 AND (rid - 2 * {STEP}::BIGINT) % 3 = 0",
+    "external_ids": f"WITH {_REC} SELECT c_custkey + 3 * {STEP}::BIGINT AS rid, eid FROM customer LEFT JOIN rec ON rid = c_custkey + 3 * {STEP}::BIGINT",
+    "pair_groups": f"WITH RECURSIVE {_COMPONENTS} SELECT q, t, component FROM truth JOIN comp USING (q)",
+    "topk_verified": f"WITH {_REC}, {_index('rare')}, {_TOP.replace('FROM dots JOIN ql USING', 'FROM (SELECT dots.* FROM dots JOIN rec o ON o.rid = q WHERE dots.country IN (o.country, chr(0)) OR dots.country = E_ OR o.country = E_) dots JOIN ql USING').replace('E_', chr(39) * 2)} SELECT q, t, source, round(score, 5) AS score FROM top",
+    "fuse_default": f"""WITH {_REC}, {_index("char", "rare", "translit")}, {_TOP}, {_exact(20)}, hits AS MATERIALIZED (SELECT * FROM top UNION ALL SELECT q, t, source, 'exact', 1.0 FROM exact),
+{_fuse(60, "fused")} SELECT q, t, source, mask, round(rrf, 9) AS rrf, position FROM fused""",
     "decide": f"WITH {_SCORED} SELECT q, t FROM scored WHERE p >= 0.6",
     "entity_f05": f"WITH {_SCORED}, {_per_query()} SELECT q, m, candidates, hit, predicted, tp, round({_F05}, 6) AS f05, round({_ORACLE}, 6) AS oracle FROM pq",
-    "threshold_sweep": f"""WITH {_SCORED}, g AS (SELECT range / 1000.0::DOUBLE AS tau FROM range(1001)), qm AS (SELECT u.q, count(tr.t) AS m FROM universe u LEFT JOIN truth tr USING (q) GROUP BY u.q),
+    "threshold_sweep": f"""WITH {_SCORED}, g AS (SELECT range AS step, CASE WHEN range = 1001 THEN 1.5::DOUBLE ELSE range / 1000.0::DOUBLE END AS tau FROM range(1002)), qm AS (SELECT u.q, count(tr.t) AS m FROM universe u LEFT JOIN truth tr USING (q) GROUP BY u.q),
 c AS (SELECT s.q, p, count(*) AS c, count(tr.t) AS tp FROM scored s LEFT JOIN truth tr ON tr.q = s.q AND tr.t = s.t GROUP BY ALL),
 v AS (SELECT q, p, m, sum(c) OVER d AS acc, sum(tp) OVER d AS tp FROM c JOIN qm USING (q) WINDOW d AS (PARTITION BY q ORDER BY p DESC)),
 x AS (SELECT q, p, 1.25 * tp / (acc + 0.25 * m) AS f, CASE WHEN m = 0 THEN 1.0 ELSE 0.0 END AS e FROM v),
 y AS (SELECT q, p, f - coalesce(lag(f) OVER (PARTITION BY q ORDER BY p DESC), e) AS delta FROM x), b AS (SELECT sum(CASE WHEN m = 0 THEN 1.0 ELSE 0.0 END) AS base, count(*) AS n FROM qm)
-SELECT round(tau, 6) AS tau, round((base + coalesce(sum(delta), 0)) / n, 6) AS score FROM g CROSS JOIN b LEFT JOIN y ON tau <= p GROUP BY tau, base, n""",
+SELECT step::INT AS step, round((base + coalesce(sum(delta), 0)) / n, 6) AS score FROM g CROSS JOIN b LEFT JOIN y ON tau <= p GROUP BY step, base, n""",
     "evaluate_slices": f"""WITH {_SCORED}, {_per_query()}, {_TAGS}, all_tags AS (SELECT q, tag FROM tags UNION ALL SELECT q, 'all' FROM universe)
 SELECT tag, count(*) AS n, round(avg({_F05}), 6) AS macro_f05, round(avg({_ORACLE}), 6) AS oracle, round(sum(hit) / nullif(sum(m), 0), 6) AS pair_recall, round(avg((hit = m)::INT) FILTER (WHERE m > 0), 6) AS complete_recall FROM pq JOIN all_tags USING (q) GROUP BY tag""",
     "difficulty_tags": f"WITH {_REC}, {_TRUTH}, {_UNIVERSE}, {_TAGS} SELECT q, tag FROM tags",
     "mine_hard_negatives": f"WITH {_SCORED} SELECT s.q, s.t, p FROM scored s LEFT JOIN truth tr ON tr.q = s.q AND tr.t = s.t WHERE tr.t IS NULL QUALIFY row_number() OVER (PARTITION BY s.q ORDER BY p DESC, s.t) = 1",
     "match_output": _listed(0.6, "matched_entity_ids"),
     "candidate_output": _listed(0.0, "candidate_entity_ids"),
-    "output_violations": "SELECT unnest(['row in one file only', 'repeated query', 'unknown query', 'missing query', 'duplicate targets', 'matches outside candidates', 'unknown or wrong-source target']) AS \"check\", 0::BIGINT AS violations",
+    "output_violations": _violations(),
     "brier": f"WITH {_SCORED} SELECT round(avg((p - (tr.t IS NOT NULL)::INT) ** 2), 6) AS brier FROM scored s LEFT JOIN truth tr ON tr.q = s.q AND tr.t = s.t",
-    "memory_estimates": "SELECT (12500 * 8 + 1001 * 4)::DOUBLE AS csr_bytes, (600 * 8 + 11 * 4)::DOUBLE AS topk_output_bytes, (600 * 28 * 4)::DOUBLE AS feature_bytes, (262144 * 4)::DOUBLE AS idf_bytes, (262144 * 8)::DOUBLE AS df_bytes",
+    "memory_estimates": f"""WITH {_REC}, {_TRUTH}, e AS (SELECT 'records' AS "table", count(*) AS row_count, sum(40 + strlen(eid) + strlen(country) + strlen(core))::BIGINT AS total_bytes FROM rec UNION ALL SELECT 'truth', count(*), count(*) * 24 FROM truth)
+SELECT "table", row_count, round(total_bytes / row_count, 6) AS row_bytes, total_bytes FROM e""",
+    "minhash_name": _minhash("name"),
+    "minhash_joint": _minhash("joint"),
+    "pair_features_ratio": _ratios(),
 }

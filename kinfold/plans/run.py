@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 
 import pyspark
 from pyspark.ml import PipelineModel
@@ -16,32 +15,33 @@ from pyspark.sql import functions as F
 
 from kinfold.operators import model as M
 from kinfold.operators.features import pair_features
-from kinfold.operators.graph import assign_splits, sample_candidates, saved, select_queries
-from kinfold.operators.index import word_idf
+from kinfold.operators.graph import assign_splits, sample_candidates, select_queries
+from kinfold.operators.index import Index, word_idf
 from kinfold.operators.metrics import difficulty_tags, evaluate, threshold_search
 from kinfold.operators.records import ingest, load_truth
-from kinfold.operators.retrieve import retrieve
+from kinfold.operators.retrieve import retrieve, text_channels
 from kinfold.operators.spelling import apply_spelling, learn_spelling, rule_map
-from kinfold.sources.tsv import TRUTH_COLUMNS, read_tsv, validate_outputs, write_outputs, write_pairs
+from kinfold.operators.store import exists, read_text, saved, write_file
+from kinfold.sources.tsv import TRUTH_COLUMNS, read_pairs, read_tsv, validate_outputs, write_outputs, write_pairs
 
 #: Queries drawn from each split.
 LIMITS = {"fit": 50_000, "stop": 5_000, "cal_fit": 10_000, "cal_select": 5_000, "tune": 10_000, "final": 10_000}
 
 
 def read_records(spark: SparkSession, folder: str, prefix: str, rules: dict[str, str] | None = None) -> DataFrame:
-    return saved(ingest({s: read_tsv(spark, f"{folder}/{prefix}_source{s}.tsv") for s in (1, 2, 3)}, rules))
+    return saved(ingest({s: read_tsv(spark, f"{folder}/{prefix}_source{s}.tsv", places=True) for s in (1, 2, 3)}, rules))
 
 
 def dependencies() -> dict[str, str]:
     return {"pyspark": pyspark.__version__}
 
 
-def core_run(spark: SparkSession, train: str, test: str, work: str, out: str, kinds: tuple[str, ...] = ("char", "rare", "translit"), k: int = 60, verified: bool = False, trees: int = 60) -> dict:
-    """Trains, tunes and validates on ``train``, writes the model and a report to ``work`` and the two
-    result files for ``test`` to ``out``.  Each split serves one decision."""
-    if os.path.exists(f"{work}/report.json"):
+def core_run(spark: SparkSession, train: str, test: str, work: str, out: str, kinds: tuple[str, ...] = ("char", "rare", "translit"), k: int = 60, verified: bool = False, trees: int = M.TREES) -> dict:
+    """Trains, tunes and validates on ``train``, writes the model, the index and a report to ``work`` and
+    the two result files for ``test`` to ``out``; all are folders of any file system that the driver and
+    the executors share.  Each split serves one decision."""
+    if exists(spark, f"{work}/report.json"):
         raise ValueError("use a fresh work folder")
-    os.makedirs(work, exist_ok=True)
     records = read_records(spark, train, "train")
     queries, truth = load_truth(records, read_tsv(spark, f"{train}/train_ground_truth.tsv", TRUTH_COLUMNS))
     queries, truth = saved(queries), saved(truth)
@@ -52,15 +52,17 @@ def core_run(spark: SparkSession, train: str, test: str, work: str, out: str, ki
     sets = {s: saved(select_queries(splits, s, n)) for s, n in LIMITS.items()}
     if any(not q.limit(1).count() for q in sets.values()):
         raise ValueError("every split needs queries; use more data")
+    Index(records, text_channels(kinds)).save(f"{work}/index")
+    index = Index.load(spark, f"{work}/index")
 
     def pairs(split: str) -> DataFrame:
         wanted = records.join(sets[split].withColumnRenamed("q", "rid"), "rid", "left_semi").unionByName(records.where("source <> 1"))
-        found = retrieve(wanted, kinds, k, verified)
+        found = retrieve(wanted, kinds, k, verified, index)
         found = sample_candidates(found, truth) if split == "fit" else found.join(truth.withColumn("y", F.lit(1)), ["q", "t"], "left").fillna(0, ["y"])
         found = saved(found)
         made = pair_features(found, records, table).join(found.select("q", "t", "y"), ["q", "t"])
-        write_pairs(made, f"file://{os.path.abspath(work)}/{split}.parquet")
-        return spark.read.parquet(f"file://{os.path.abspath(work)}/{split}.parquet")
+        write_pairs(made, f"{work}/{split}.parquet")
+        return read_pairs(spark, f"{work}/{split}.parquet")
 
     tables = {s: pairs(s) for s in LIMITS}
     model = M.train_model(tables["fit"], tables["stop"], trees)
@@ -74,11 +76,10 @@ def core_run(spark: SparkSession, train: str, test: str, work: str, out: str, ki
         "calibration_brier": losses, "calibrator": calibrator.kind, "threshold": tau, "tune_f05": score, "final": {r.tag: {k: v for k, v in r.asDict().items() if k != "tag"} for r in slices.collect()},
         "rules": rules, "k": k, "kinds": list(kinds), "country_verified": verified, "dependencies": dependencies(),
     }
-    model.write().overwrite().save(f"file://{os.path.abspath(work)}/model")
-    calibrator.save(f"file://{os.path.abspath(work)}/calibrator")
-    table.write.mode("overwrite").parquet(f"file://{os.path.abspath(work)}/feature_idf.parquet")
-    with open(f"{work}/report.json", "w") as f:
-        json.dump(report, f, indent=2)
+    model.write().overwrite().save(f"{work}/model")
+    calibrator.save(f"{work}/calibrator")
+    table.write.mode("overwrite").parquet(f"{work}/feature_idf.parquet")
+    write_file(spark, f"{work}/report.json", json.dumps(report, indent=2))
     infer(spark, read_records(spark, test, "test", rules), table, model, calibrator, tau, out, kinds, k, verified)
     return report
 
@@ -88,16 +89,14 @@ def infer(spark, records, table, model, calibrator, tau, out, kinds, k=60, verif
     found = saved(retrieve(records, kinds, k, verified))
     scored = saved(calibrator.predict(M.predict(model, pair_features(found, records, table)).select("q", "t", "p")))
     write_outputs(records, scored, tau, out)
-    validate_outputs(spark, records, f"file://{os.path.abspath(out)}")
+    validate_outputs(spark, records, out)
 
 
 def infer_from(spark: SparkSession, work: str, test: str, out: str) -> None:
     """Matches the test sources with what a training run left in ``work``."""
-    with open(f"{work}/report.json") as f:
-        report = json.load(f)
-    base = f"file://{os.path.abspath(work)}"
-    records, calibrator = read_records(spark, test, "test", report["rules"]), M.Calibrator.load(f"{base}/calibrator", report["calibrator"])
-    table, model = spark.read.parquet(f"{base}/feature_idf.parquet"), PipelineModel.load(f"{base}/model")
+    report = json.loads(read_text(spark, f"{work}/report.json"))
+    records, calibrator = read_records(spark, test, "test", report["rules"]), M.Calibrator.load(f"{work}/calibrator", report["calibrator"])
+    table, model = spark.read.parquet(f"{work}/feature_idf.parquet"), PipelineModel.load(f"{work}/model")
     infer(spark, records, table, model, calibrator, report["threshold"], out, tuple(report["kinds"]), report["k"], report["country_verified"])
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kinfold.functions import indic
 from kinfold.functions import text as T
 from kinfold.functions.terms import char_grams
-from kinfold.operators import features, fuse, graph, index, metrics, model, records, retrieve, spelling
+from kinfold.operators import features, fuse, graph, index, metrics, model, records, retrieve, spelling, store
 from kinfold.sources import tsv
 
 STEP = 1_000_000_000
@@ -40,7 +40,7 @@ def source_rows(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
 def all_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = source_rows(spark, sf_dir)
     made = [records.normalise(rows[s], s) for s in (1, 2, 3)]
-    return graph.saved(made[0].unionByName(made[1]).unionByName(made[2]))
+    return store.saved(made[0].unionByName(made[1]).unionByName(made[2]))
 
 
 def universe(recs: DataFrame) -> DataFrame:
@@ -60,12 +60,12 @@ CHANNELS = ("rare", "address")
 
 
 def hits_of(recs: DataFrame) -> DataFrame:
-    return graph.saved(retrieve.all_hits(recs, CHANNELS))
+    return store.saved(retrieve.all_hits(recs, CHANNELS))
 
 
 def scored_of(recs: DataFrame) -> DataFrame:
     """A fixed score in place of a model's: it rises with rrf."""
-    return graph.saved(fuse.fuse(hits_of(recs), 10).select("q", "t", F.round(F.least(F.lit(1.0), F.col("rrf") * 25), 3).alias("p")))
+    return store.saved(fuse.fuse(hits_of(recs), 10).select("q", "t", F.round(F.least(F.lit(1.0), F.col("rrf") * 25), 3).alias("p")))
 
 
 def by_name(view: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -129,10 +129,10 @@ def routes_of(spark, sf_dir):
     return index.routes(recs.where("source = 1"), index.sizes(recs.where("source > 1")), True)
 
 
-def top_k_of(channel):
+def top_k_of(channel, verified=False):
     def run(spark, sf_dir):
         recs = all_records(spark, sf_dir)
-        found = index.top_k(recs.where("source = 1"), index.Index(recs, (channel,)), fuse.BUDGETS)
+        found = index.top_k(recs.where("source = 1"), index.Index(recs, (channel,)), fuse.BUDGETS, verified)
         return found.select("q", "t", "source", F.round("score", 5).alias("score"))
 
     return run
@@ -171,7 +171,7 @@ def splits_of(spark, sf_dir):
 
 
 def sample_of(spark, sf_dir):
-    cands = graph.saved(fuse.fuse(hits_of(all_records(spark, sf_dir)), 20))
+    cands = store.saved(fuse.fuse(hits_of(all_records(spark, sf_dir)), 20))
     return graph.sample_candidates(cands, truth_of(spark, sf_dir)).select("q", "t", "y")
 
 
@@ -194,11 +194,20 @@ def _slices(u, truth, scored, recs):
 
 
 def _sweep(u, truth, scored, recs):
-    return metrics.threshold_curve(u, truth, scored).select(F.round("tau", 6).alias("tau"), F.round("score", 6).alias("score")).where("tau <= 1").groupBy("tau").agg(F.max("score").alias("score"))
+    """``step`` is the threshold in thousandths, 1001 being just past 1."""
+    step = F.when(F.col("tau") > 1, 1001).otherwise(F.round(F.col("tau") * 1000).cast("int"))
+    return metrics.threshold_curve(u, truth, scored).select(step.alias("step"), F.round("score", 6).alias("score"))
 
 
 def _violations(u, truth, scored, recs):
-    return tsv.output_violations(recs, *tsv.outputs(recs, scored, 0.6))
+    """Outputs with every kind of fault put in, by the number of the query."""
+    m, c = tsv.outputs(recs, scored, 0.6)
+    q, ids = F.col("q"), F.col("matched_entity_ids")
+    ids = F.when(q % 5 == 1, F.concat_ws(",", ids, F.lit("S1-1"))).when(q % 6 == 2, F.concat_ws(",", F.lit("S2-1"), F.lit("S2-1"), ids)).otherwise(ids)
+    m = m.where("q % 7 <> 3").select("q", F.when(q % 8 == 5, F.concat("source1_entity_id", F.lit("x"))).otherwise(F.col("source1_entity_id")).alias("source1_entity_id"), ids.alias("matched_entity_ids"))
+    m = m.unionByName(m.where("q % 9 = 4"))
+    listed = F.when(q % 4 == 0, F.concat_ws(",", "candidate_entity_ids", F.lit("S4-1"))).otherwise(F.col("candidate_entity_ids"))
+    return tsv.output_violations(recs, m, c.withColumn("candidate_entity_ids", listed))
 
 
 def _hard(u, truth, scored, recs):
@@ -208,11 +217,11 @@ def _hard(u, truth, scored, recs):
 def _labelled(spark, sf_dir) -> DataFrame:
     """Pairs with features and labels, from all queries."""
     recs = all_records(spark, sf_dir)
-    cands = graph.saved(fuse.fuse(hits_of(recs), 10))
+    cands = store.saved(fuse.fuse(hits_of(recs), 10))
     made = features.pair_features(cands, recs, index.word_idf(recs))
     y = truth_of(spark, sf_dir).withColumn("y", F.lit(1))
     comp = splits_of(spark, sf_dir).select("q", "component")
-    return graph.saved(made.join(y, ["q", "t"], "left").fillna(0, ["y"]).join(comp, "q"))
+    return store.saved(made.join(y, ["q", "t"], "left").fillna(0, ["y"]).join(comp, "q"))
 
 
 def train_scores(spark, sf_dir):
@@ -228,7 +237,7 @@ def calibrated(kind):
     def run(spark, sf_dir):
         recs = all_records(spark, sf_dir)
         rows = scored_of(recs).join(truth_of(spark, sf_dir).withColumn("y", F.lit(1)), ["q", "t"], "left").fillna(0, ["y"])
-        rows = graph.saved(rows)
+        rows = store.saved(rows)
         return model.Calibrator(kind).fit(rows).predict(rows)
 
     return run
@@ -240,21 +249,55 @@ def brier_of(spark, sf_dir):
     return rows.agg(F.round(model.brier(rows), 6).alias("brier"))
 
 
+#: Words and what becomes of them.
+WORDS = ["ग्लोबल", "குளோபல்", "पावर", "Sun पावर", "plain"]
+
+
 def transliterated(spark, sf_dir):
-    words = ["ग्लोबल", "குளோபல்", "पावर", "Sun पावर", "plain"]
-    rows = spark.createDataFrame(list(enumerate(words)), "i int, word string")
-    return rows.select("i", T.fold_accents(indic.transliterated(F.col("word"))).alias("latin"))
+    """One of WORDS and the number of every part."""
+    word = F.concat(F.get(F.array(*[F.lit(w) for w in WORDS]), F.pmod("p_partkey", F.lit(len(WORDS))).cast("int")), F.lit(" "), F.col("p_partkey"))
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", T.fold_accents(indic.transliterated(word)).alias("latin"))
 
 
 def spelling_of(spark, sf_dir):
-    """Every part under an Indic first word, matched with one under the Latin word."""
+    """Every part under an Indic first word, matched with one under a Latin word: two words always with
+    the same, a third with either of two, which makes no rule."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    make = lambda s, word: records.normalise(part.selectExpr(f"{s * STEP}L + p_partkey as rid", f"concat('S{s}-', p_partkey) as entity_id", f"concat('{word} ', p_partkey) as business_name", "'1 Main Road' as business_address", "'India' as country"), s)
-    recs = graph.saved(make(1, "Global").unionByName(make(2, "குளோபல்")))
+    word = {1: "case p_partkey % 6 when 0 then 'Global' when 3 then 'Global' when 1 then 'Delhi' when 4 then 'Delhi' when 2 then 'Pavers' else 'Pavana' end", 2: "case p_partkey % 3 when 0 then 'குளோபல்' when 1 then 'दिल्ली' else 'पावर' end"}
+    make = lambda s: records.normalise(part.selectExpr(f"{s * STEP}L + p_partkey as rid", f"concat('S{s}-', p_partkey) as entity_id", f"concat({word[s]}, ' ', p_partkey) as business_name", "'1 Main Road' as business_address", "'India' as country"), s)
+    recs = store.saved(make(1).unionByName(make(2)))
     truth = part.selectExpr(f"{STEP}L + p_partkey as q", f"{2 * STEP}L + p_partkey as t")
     return spelling.learn_spelling(recs, truth, truth.selectExpr("q", "'fit' as split"))
 
 
+def fetched(spark, sf_dir):
+    recs = all_records(spark, sf_dir)
+    keys = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_partkey % 3 = 0").select((F.col("p_partkey") + 2 * STEP).alias("rid"))
+    return records.fetch(recs, keys.unionByName(keys)).select("rid", "eid", "name_key")
+
+
+def named(spark, sf_dir):
+    recs = all_records(spark, sf_dir)
+    asked = spark.read.parquet(f"{sf_dir}/customer.parquet").select((F.col("c_custkey") + 3 * STEP).alias("rid"))
+    return records.external_ids(recs, asked).select("rid", "eid")
+
+
+def grouped(spark, sf_dir):
+    return graph.pair_groups(truth_of(spark, sf_dir), splits_of(spark, sf_dir))
+
+
+def fused_default(spark, sf_dir):
+    """The default channels, exact, char, rare and translit, and 60 candidates."""
+    recs = all_records(spark, sf_dir)
+    found = fuse.fuse(store.saved(retrieve.all_hits(recs, ("char", "rare", "translit"))), 60)
+    return found.select("q", "t", "source", "mask", F.round("rrf", 9).alias("rrf"), F.col("position").cast("long").alias("position"))
+
+
+def estimates(spark, sf_dir):
+    recs = all_records(spark, sf_dir)
+    return index.memory_estimates({"records": recs.select("rid", "eid", "country", "name_key"), "truth": truth_of(spark, sf_dir)})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_clean": by_name(lambda n, a: [T.missing_clean(n).alias("name"), T.missing_clean(a).alias("address")]),
     "clean_name": by_name(lambda n, a: [T.clean_name(n).alias("name")]),
@@ -309,5 +352,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "calibrate_platt": calibrated("platt"),
     "calibrate_isotonic": calibrated("isotonic"),
     "brier": brier_of,
-    "memory_estimates": lambda s, d: s.range(1).select(*[F.lit(float(v)).alias(k) for k, v in index.memory_estimates(1000, 12.5, 10, 60, 28, 600).items()]),
+    "memory_estimates": estimates,
+    "fetch_records": fetched,
+    "external_ids": named,
+    "pair_groups": grouped,
+    "topk_verified": top_k_of("rare", True),
+    "fuse_default": fused_default,
 }

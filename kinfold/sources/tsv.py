@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import uuid
 from functools import reduce
 
@@ -12,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from kinfold.operators.metrics import decide, require_scores
-from kinfold.operators.records import require_none
+from kinfold.operators.records import placed, require_none
+from kinfold.operators.store import files, remove, write_file
 
 #: The columns of the files.
 SOURCE_COLUMNS = ["entity_id", "business_name", "business_address", "country"]
@@ -24,11 +23,16 @@ def schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
-def read_tsv(spark: SparkSession, path: str, columns: list[str] = SOURCE_COLUMNS) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, columns: list[str] = SOURCE_COLUMNS, multi_line: bool = False, places: bool = False) -> DataFrame:
     """Rows of a TSV file with exactly these columns; a reordered header or a ragged row raises when
-    it is read.  Empty fields are ''."""
-    rows = spark.read.csv(path, schema(columns), sep="\t", header=True, enforceSchema=False, mode="FAILFAST", quote='"', escape='"', encoding="UTF-8", multiLine=True)
-    return rows.fillna("")
+    it is read.  Empty fields are ''.  Files are read in splits; quoted line breaks need ``multi_line``,
+    which reads a file in one task, and are ragged rows without it.  ``places`` adds ``row``, the row's
+    place in the file."""
+    rows = spark.read.csv(path, schema(columns), sep="\t", header=True, enforceSchema=False, mode="FAILFAST", quote='"', escape='"', encoding="UTF-8", multiLine=multi_line)
+    if not places:
+        return rows.fillna("")
+    block = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    return placed(rows.select(*columns, block.alias("block"), F.monotonically_increasing_id().alias("at"))).fillna("", columns)
 
 
 def outputs(records: DataFrame, scored: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -67,16 +71,15 @@ def output_violations(records: DataFrame, matches: DataFrame, candidates: DataFr
 
 
 def write_outputs(records: DataFrame, scored: DataFrame, threshold: float, folder: str) -> list[str]:
-    """Writes matching_results.tsv and candidate_pairs.tsv into a local folder, each in one go."""
+    """Writes matching_results.tsv and candidate_pairs.tsv into a folder of any file system; each appears
+    whole.  Rows are sorted and written in parts, whose bytes are then strung together."""
     require_scores(scored)
-    os.makedirs(folder, exist_ok=True)
-    paths = []
-    for rows, name in zip(outputs(records, scored, threshold), ("matching_results.tsv", "candidate_pairs.tsv"), strict=True):
-        part, path = f"{folder}/.{uuid.uuid4().hex}", f"{folder}/{name}"
-        rows.orderBy("q").drop("q").coalesce(1).write.csv(f"file://{os.path.abspath(part)}", sep="\t", header=True, emptyValue="", nullValue="", quote='"', escape='"')
-        (file,) = [f for f in os.listdir(part) if f.endswith(".csv")]
-        os.replace(f"{part}/{file}", path)
-        shutil.rmtree(part)
+    spark, paths = records.sparkSession, []
+    for rows, name, columns in zip(outputs(records, scored, threshold), ("matching_results.tsv", "candidate_pairs.tsv"), (TRUTH_COLUMNS, CANDIDATE_COLUMNS), strict=True):
+        parts, path = f"{folder}/.{uuid.uuid4().hex}", f"{folder}/{name}"
+        rows.orderBy("q").drop("q").write.csv(parts, sep="\t", header=False, emptyValue="", nullValue="", quote='"', escape='"')
+        write_file(spark, path, "\t".join(columns) + "\n", files(spark, parts, "part-"))
+        remove(spark, parts)
         paths.append(path)
     return paths
 
@@ -87,12 +90,14 @@ def validate_outputs(spark: SparkSession, records: DataFrame, folder: str) -> No
 
 
 def write_pairs(rows: DataFrame, path: str, cap: int = 1_500_000) -> int:
-    """Writes a pair table as Parquet; more rows than ``cap`` are an error, never cut."""
-    n = rows.count()
-    if n > cap:
-        raise MemoryError(f"{n} pairs exceed the cap of {cap}")
+    """Writes a pair table as Parquet, working it out once; more rows than ``cap`` are an error, never
+    cut, and leave nothing behind."""
     rows.write.option("compression", "zstd").mode("overwrite").parquet(path)
-    return n
+    try:
+        return read_pairs(rows.sparkSession, path, cap).count()
+    except MemoryError:
+        remove(rows.sparkSession, path)
+        raise
 
 
 def read_pairs(spark: SparkSession, path: str, cap: int = 1_500_000) -> DataFrame:

@@ -1,5 +1,6 @@
 """The record-linkage engine: views, retrieval, fusion, features, metrics, sinks, whole runs."""
 
+import hashlib
 import math
 import random
 
@@ -8,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kinfold import fixtures
+from tests import fixtures
 from kinfold.functions import indic, terms
 from kinfold.functions import similarity as S
 from kinfold.functions import text as T
@@ -18,6 +19,9 @@ from kinfold.sources import tsv
 from kinfold.streaming import arriving_records
 
 
+N = 250
+
+
 def one(spark, expr, *values):
     rows = [(i, v) for i, v in enumerate(values)]
     out = spark.createDataFrame(rows, "i int, v string").select("i", expr(F.col("v")).alias("x")).orderBy("i").collect()
@@ -26,8 +30,8 @@ def one(spark, expr, *values):
 
 @pytest.fixture(scope="module")
 def sample(spark, tmp_path_factory):
-    folder = fixtures.write_fixture(str(tmp_path_factory.mktemp("train")), "train", 260)
-    recs = records.ingest({s: tsv.read_tsv(spark, f"{folder}/train_source{s}.tsv") for s in (1, 2, 3)}).cache()
+    folder = fixtures.write_sources(str(tmp_path_factory.mktemp("train")), "train", N)
+    recs = records.ingest({s: tsv.read_tsv(spark, f"{folder}/train_source{s}.tsv", places=True) for s in (1, 2, 3)}).cache()
     queries, truth = records.load_truth(recs, tsv.read_tsv(spark, f"{folder}/train_ground_truth.tsv", tsv.TRUTH_COLUMNS))
     return recs, queries.cache(), truth.cache()
 
@@ -106,16 +110,37 @@ def test_reading_rejects_bad_files(spark, tmp_path):
         fixtures.write_tsv(f"{tmp_path}/bad.tsv", header, rows)
         with pytest.raises(ValueError, match=said):
             records.ingest({1: tsv.read_tsv(spark, f"{tmp_path}/bad.tsv")})
+    fixtures.write_tsv(f"{tmp_path}/two.tsv", header, [("S1-1", "a\nb", "", "")])
+    with pytest.raises(Exception):  # noqa: B017
+        tsv.read_tsv(spark, f"{tmp_path}/two.tsv").collect()
+    assert tsv.read_tsv(spark, f"{tmp_path}/two.tsv", multi_line=True).first().business_name == "a\nb"
     with open(f"{tmp_path}/bom.tsv", "w", encoding="utf-8-sig") as f:
         f.write("\t".join(header) + '\nS1-1\t"a ""b"""\t\tUS\n')
     row = records.ingest({1: tsv.read_tsv(spark, f"{tmp_path}/bom.tsv")}).first()
     assert (row.eid, row.name.raw, row.address.raw, row.country, row.missing) == ("S1-1", 'a "b"', "", "us", 1)
 
 
+def test_places_do_not_follow_the_splits(spark, tmp_path):
+    rows = [(f"S1-{(i * 37) % 900}", f"name {i}", "x" * (i % 50), "US") for i in range(900)]
+    fixtures.write_tsv(f"{tmp_path}/s.tsv", tsv.SOURCE_COLUMNS, rows)
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "4k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            read = tsv.read_tsv(spark, f"{tmp_path}/s.tsv", places=True)
+            assert {r.entity_id: r.row for r in read.collect()} == {r[0]: i for i, r in enumerate(rows)}
+        assert spark.read.csv(f"{tmp_path}/s.tsv").rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    plain = spark.createDataFrame(rows, tsv.schema(tsv.SOURCE_COLUMNS))
+    rids = lambda d: {r.entity_id: r.rid - records.SOURCE_STEP for r in records.number(d, 1).collect()}
+    assert rids(plain.repartition(5)) == rids(plain.coalesce(1)) == {e: i for i, e in enumerate(sorted(r[0] for r in rows))}
+
+
 def test_truth_is_checked(spark, sample):
     recs, queries, truth = sample
-    assert queries.count() == 260 and truth.count() == 2 * (260 - 24)
-    rows = [(f"S1-{i}", "") for i in range(260)]
+    assert queries.count() == N and truth.count() == 2 * sum(not fixtures.alone(i) for i in range(N))
+    rows = [(f"S1-{i}", "") for i in range(N)]
     for change, said in (([], "without truth"), ([("S1-0", "S2-1,S2-1")], "duplicate"), ([("S1-0", "S1-1")], "target"), ([("S9-0", "")], "query")):
         given_ = rows[1:] + change if said != "without truth" else rows[1:]
         with pytest.raises(ValueError, match=said):
@@ -128,7 +153,7 @@ def test_shared_targets_share_a_split(spark, sample):
     extra = truth.unionByName(spark.createDataFrame([(ids["S1-2"], ids["S2-1"]), (ids["S1-9"], ids["S3-2"])], "q long, t long"))
     got = {r.q: (r.component, r.split) for r in graph.assign_splits(queries, extra).collect()}
     assert got[ids["S1-1"]] == got[ids["S1-2"]] == got[ids["S1-9"]] and got[ids["S1-1"]][0] == ids["S1-1"]
-    assert got[ids["S1-3"]][0] == ids["S1-3"] and len(got) == 260
+    assert got[ids["S1-3"]][0] == ids["S1-3"] and len(got) == N
     splits = graph.assign_splits(queries, truth)
     picked = [r.q for r in graph.select_queries(splits, "fit", 20).collect()]
     assert len(set(picked)) == 20 and picked == [r.q for r in graph.select_queries(splits, "fit", 20).collect()]
@@ -180,9 +205,9 @@ def test_top_k_against_brute_force(spark, sample, channel):
 
 def test_retrieval_finds_the_truth(spark, sample):
     recs, queries, truth = sample
-    first = retrieve.retrieve(recs, ("char", "rare", "translit", "address"), k=40).cache()
-    assert truth.join(first, ["q", "t"], "left_anti").count() == 0
-    again = retrieve.retrieve(recs, ("char", "rare", "translit", "address"), k=40)
+    whole = retrieve.retrieve(recs, ("char", "rare", "translit", "address"), k=40)
+    assert truth.join(whole, ["q", "t"], "left_anti").count() == 0
+    first, again = (retrieve.retrieve(recs.repartition(n), ("rare",), k=40) for n in (2, 5))
     assert sorted(map(str, first.collect())) == sorted(map(str, again.collect()))
     assert first.groupBy("q").count().agg(F.max("count")).first()[0] <= 40
 
@@ -215,10 +240,10 @@ def test_minhash_modes(spark, sample):
     recs = sample[0]
     ids = {r.eid: r.rid for r in recs.select("eid", "rid").collect()}
     name = retrieve.minhash_hits(recs, "name").where(F.col("q") == ids["S1-7"]).collect()
-    assert ids["S2-7"] in {r.t for r in name} and all(r.t in {ids[f"S2-{i}"] for i in range(0, 260, 7)} for r in name)
+    assert ids["S2-7"] in {r.t for r in name} and all(r.t in {ids[f"S2-{i}"] for i in range(N) if fixtures.without_address(i)} for r in name)
     joint = retrieve.minhash_hits(recs, "joint").where(F.col("q") == ids["S1-8"]).collect()
     assert ids["S2-8"] in {r.t for r in joint} and max(joint, key=lambda r: r.score).score == 1.0
-    index_, out = retrieve.minhash_index(recs, "joint", 3)
+    index_, out = retrieve.minhash_index(recs, "joint", 1)
     assert out.count() > 0 and index_.join(out, "t").count() == 0
 
 
@@ -332,6 +357,29 @@ def test_threshold_sweep_against_brute_force(spark):
             metrics.threshold_search(universe, truth, spark.createDataFrame(bad, "q long, t long, p double"))
 
 
+def test_fetching_records(spark, sample):
+    recs, _, truth = sample
+    ids = {r.eid: r.rid for r in recs.select("eid", "rid").collect()}
+    wanted = spark.createDataFrame([(ids["S2-3"],), (ids["S2-3"],), (ids["S1-8"],)], "rid long")
+    assert sorted(r.eid for r in records.fetch(recs, wanted).collect()) == ["S1-8", "S2-3"]
+    assert sorted(r.eid for r in records.external_ids(recs, wanted).collect()) == ["S1-8", "S2-3", "S2-3"]
+    with pytest.raises(ValueError, match="missing record"):
+        records.fetch(recs, spark.createDataFrame([(5,)], "rid long"))
+    splits = spark.createDataFrame([(1, 1), (2, 1), (7, 7)], "q long, component long")
+    got = graph.pair_groups(spark.createDataFrame([(1, 10), (2, 11), (2, 12)], "q long, t long"), splits).collect()
+    assert sorted((r.q, r.t, r.component) for r in got) == [(1, 10, 1), (2, 11, 1), (2, 12, 1)]
+
+
+def test_sketches_against_brute_force(spark, sample):
+    """Least values of (a x + b) mod p over a word's md5, in bands, by hand."""
+    rows = retrieve.sketches(sample[0].where("source = 1 and rid % 29 = 0"), "name").collect()
+    for r in rows:
+        xs = [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % retrieve.PRIME for w in r.words]
+        least = [min((a * x + b) % retrieve.PRIME for x in xs) for a, b in retrieve.factors()]
+        assert r.bands == ["-".join(map(str, [b, *least[4 * b : 4 * b + 4]])) for b in range(16)]
+    assert len(rows) > 5 and len(set(retrieve.factors())) == 64
+
+
 def test_training_sample(spark):
     cands = spark.createDataFrame([(1, t, 1 / (t + 1)) for t in range(22)], "q long, t long, rrf double")
     got = graph.sample_candidates(cands, spark.createDataFrame([(1, 3), (1, 20)], "q long, t long")).collect()
@@ -365,7 +413,7 @@ def test_outputs_and_their_checks(spark, sample, tmp_path):
     tsv.validate_outputs(spark, recs, str(tmp_path))
     with open(tmp_path / "matching_results.tsv") as f:
         lines = f.read().split("\n")
-    assert lines[0] == "source1_entity_id\tmatched_entity_ids" and lines[1] == "S1-0\t" and len(lines) == 262
+    assert lines[0] == "source1_entity_id\tmatched_entity_ids" and lines[1] == "S1-0\t" and lines[11] == "S1-10\t" and len(lines) == N + 2
     ids = {r.eid: r.rid for r in recs.select("eid", "rid").collect()}
     scored = spark.createDataFrame([(ids["S1-1"], ids[t], p) for t, p in (("S3-1", 0.9), ("S2-1", 0.8), ("S2-10", 0.1))], "q long, t long, p double")
     matches, candidates = tsv.outputs(recs, scored, 0.5)
@@ -390,12 +438,12 @@ def test_arriving_records(spark, tmp_path):
 
 
 def test_whole_run(spark, tmp_path):
-    train = fixtures.write_fixture(f"{tmp_path}/train", "train", 260)
-    test = fixtures.write_fixture(f"{tmp_path}/test", "test", 12)
+    train = fixtures.write_sources(f"{tmp_path}/train", "train", N)
+    test = fixtures.write_sources(f"{tmp_path}/test", "test", 16)
     report = core_run(spark, train, test, f"{tmp_path}/work", f"{tmp_path}/out", kinds=("rare", "char"), k=20, trees=5)
     assert report["final"]["all"]["oracle"] == 1 and report["final"]["all"]["macro_f05"] > 0.5
     with open(f"{tmp_path}/out/candidate_pairs.tsv") as f:
-        assert len(f.read().strip().split("\n")) == 13
+        assert len(f.read().strip().split("\n")) == 17
     infer_from(spark, f"{tmp_path}/work", test, f"{tmp_path}/again")
     for name in ("candidate_pairs.tsv", "matching_results.tsv"):
         with open(f"{tmp_path}/out/{name}") as a, open(f"{tmp_path}/again/{name}") as b:
