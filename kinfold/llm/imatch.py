@@ -88,25 +88,24 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(either) == 0, F.lit(1.0)).otherwise(F.size(F.filter(either, lambda x: x == 1)) / F.size(either))
 
 
-def with_next(rows: DataFrame, order: str, tie: str, value: str, n: int, whole: DataFrame | None = None) -> DataFrame:
-    """Adds ``next``: the ``value`` of the row that follows in descending (order, tie), nulls last;
-    after the last row, that of the first.  ``n`` is how many rows there are, about.
+def with_next(rows: DataFrame, order: str, tie: str, value: Column, n: int) -> DataFrame:
+    """Adds ``own``, the value of a row, and ``next``, that of the row that follows in descending (order,
+    tie), nulls last; after the last row, that of the first.  ``n`` is how many rows there are, about.
 
     Rows are dealt out once, by ranges of (order, tie), so rows that share one id spread over ranges;
     inside a range a window looks one row ahead.  The last row of a range gets the first of the
-    following range: ranges know each other's first keys, and only the values of these are fetched,
-    from ``whole`` (or ``rows``), a table of (order, tie, value).
+    following range: ranges know each other's first keys, and only the values of these are worked out
+    again.
     """
     key = key_struct([order, tie])
     placed = rows.withColumn("bucket", bucket_of(key, range_bounds(rows, [order, tie], n)))
     heads = placed.groupBy("bucket").agg(F.max(key).alias("head"))
     following = F.lead("head").over(Window.orderBy(F.col("bucket").desc()))  # one row a range, keys alone
     follow = heads.select("bucket", F.coalesce(following, F.max_by("head", "bucket").over(Window.partitionBy())).alias("head"))
-    whole = rows if whole is None else whole
-    at_head = whole.join(F.broadcast(follow), F.col(order).eqNullSafe(F.col("head.v0")) & (F.col(tie) == F.col("head.v1")))
-    after = at_head.select("bucket", F.col(value).alias("after")).dropDuplicates(["bucket"])
+    at_head = rows.join(F.broadcast(follow), F.col(order).eqNullSafe(F.col("head.v0")) & (F.col(tie) == F.col("head.v1")))
+    after = at_head.dropDuplicates(["bucket"]).select("bucket", value.alias("after"))
     ahead = Window.partitionBy("bucket").orderBy(F.col(order).desc_nulls_last(), F.col(tie).desc())
-    looked = placed.withColumn("ahead", F.lead(value).over(ahead)).join(after.hint("merge"), "bucket", "left")
+    looked = placed.withColumn("own", value).withColumn("ahead", F.lead("own").over(ahead)).join(after.hint("merge"), "bucket", "left")
     return looked.withColumn("next", F.coalesce("ahead", "after")).drop("bucket", "ahead", "after")
 
 
@@ -122,8 +121,8 @@ def compared(docs: DataFrame) -> DataFrame:
     likeness of its own to the edited text's and to the next document's."""
     docs = docs.select("doc_id", text_or_empty("text").alias("text"))
     known = lexicon(docs)
-    rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.struct("text", fingerprint(F.col("text"), known).alias("print")).alias("own"))
-    rows = with_next(rows, "doc_id", "tie", "own", docs.count())
+    own = F.struct("text", fingerprint(F.col("text"), known).alias("print"))
+    rows = with_next(docs.withColumn("tie", F.xxhash64("text")), "doc_id", "tie", own, docs.count())
     rows = rows.select("doc_id", "own", F.col("next.print").alias("next_print"), edited(F.col("own.text"), F.col("next.text")).alias("edited"))
     rows = rows.withColumn("edited_print", fingerprint(F.col("edited"), known))
     return rows.select(

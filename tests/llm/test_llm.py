@@ -492,11 +492,11 @@ def test_next_row(spark):
     for ids in ([5, 3, None, 9, 9, 1, 7, None], [8] * 300 + [None] * 200 + list(range(40)), ["b", "a", None, "b", "c"]):
         rows = [(i, rng.randrange(1 << 40)) for i in ids]
         df = spark.createDataFrame(rows, f"doc_id {'string' if 'a' in ids else 'long'}, tie long").repartition(3)
-        got = imatch.with_next(df.withColumn("value", F.col("tie")), "doc_id", "tie", "value", len(rows)).collect()
+        got = imatch.with_next(df, "doc_id", "tie", F.col("tie"), len(rows)).collect()
         order = sorted(got, key=lambda r: (r.doc_id is not None, r.doc_id if r.doc_id is not None else 0, r.tie), reverse=True)
         assert [r.next for r in order] == [r.tie for r in order[1:]] + [order[0].tie]
         assert len(shared.range_bounds(df, ["doc_id", "tie"], len(rows))) == 3
-    assert imatch.with_next(df.limit(0).withColumn("value", F.col("tie")), "doc_id", "tie", "value", 0).count() == 0
+    assert imatch.with_next(df.limit(0), "doc_id", "tie", F.col("tie"), 0).count() == 0
 
 
 # ---- op8
