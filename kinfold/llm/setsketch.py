@@ -46,6 +46,8 @@ MARGIN = 0.16
 BLOCK, BLOCK_BYTES = 256, 8_000_000
 #: Rounds in which what is left of a bucket is compared with single members of it.
 STARS = 1
+#: Places at which a component's name can be looked up.
+SALTS = 16
 #: Shingles whose membership is laid out in one table.
 COLUMNS = 4_096
 #: Below so many candidate documents (8 bytes each), their ids are broadcast.
@@ -289,8 +291,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
         known, left = open_buckets(members, labels) if turn < STARS else (known, left)
     groups = nodes.select("node", "t1", "t2", "least_id").join(labels, "node", "left")
     groups = written(groups.select("t1", "t2", "least_id", F.coalesce("component", "node").alias("component")))
-    names = groups.groupBy("component").agg(F.min("least_id").alias("name"))
-    of_text = groups.join(names, "component").select("t1", "t2", "name")
+    # a component may hold a third of all texts, so its members look its name up at SALTS places
+    names = groups.groupBy("component").agg(F.min("least_id").alias("name")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    of_text = groups.withColumn("salt", F.pmod("t1", F.lit(SALTS)).cast("int")).join(names, ["component", "salt"]).select("t1", "t2", "name")
     out = rows.select("id", "n", "t1", "t2").join(of_text, ["t1", "t2"], "left")
     component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("name", "id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
