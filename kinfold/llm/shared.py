@@ -1,7 +1,8 @@
 """What the operators share: the shared folder, written tables, word rules and links.
 
 Temporary tables go to the folder named by ``spark.checkpoint.dir``, which the driver and all
-executors can reach; a folder of our own is used only where that setting is missing (tests).
+executors can reach; a folder of our own is used only where that setting is missing and the driver
+is the only machine (tests).
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
     if named is None:
         named = spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="kinfold-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
