@@ -8,13 +8,11 @@ texts, null sources, repeated rows and extra columns go through; an empty table
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm import bpe, lines, mixing, setsketch, toxicity
-from kinfold.llm.shared import BLANKS, shared_dir
+from kinfold.llm.shared import BLANKS, remove, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -82,10 +80,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder, read again, and removed when
+    the session ends or its successor is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    for at, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, written(stage(spark, docs, sf_dir))
+        if at:
+            remove(before)
     return STAGES[-1][1](spark, docs, sf_dir)
