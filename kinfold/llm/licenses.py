@@ -6,7 +6,8 @@ shingle, give a key a band: the shingle that is nearest to the band's mark in th
 makes any of the four equally likely.  A template is cut into windows at *every* shingle, so an
 unchanged run of five shingles holds a window that equals one of the template's, and all bands
 agree.  A window with one changed shingle has Jaccard similarity 3/5 and agrees in one of four
-bands with probability 1 - (2/5)**4 = 0.974; templates have many windows.  Templates of under
+bands with probability 1 - (2/5)**4 = 0.974 were the bands independent, a little more as they are
+(the test measures it); templates have many windows.  Templates of under
 five shingles have windows of one shingle, which agree if equal.
 
 A template that shares a key is verified: a match has at least ``least`` of the template's shingles

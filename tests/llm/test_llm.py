@@ -725,6 +725,16 @@ def test_license_scan(spark, awkward, empty):
     assert licenses.scan(empty, licenses.TEMPLATES).count() == 0
 
 
+def test_license_bands_meet_changed_windows(spark):
+    """How often a window with one changed shingle agrees with the old one in a band."""
+    shingle = lambda *x: F.xxhash64("id", *[F.lit(y) for y in x])
+    old = F.array(*[shingle(i) for i in range(licenses.WINDOW)])
+    new = F.array(*[shingle(i) for i in range(licenses.WINDOW - 1)], shingle(9, 9))
+    met = F.arrays_overlap(licenses.band_keys(F.col("old"), 1), licenses.band_keys(F.col("new"), 1))
+    share = spark.range(40_000).select(old.alias("old"), new.alias("new")).select(F.avg(met.cast("int"))).first()[0]
+    assert 0.97 < share < 0.995
+
+
 # ---- pipeline
 
 
