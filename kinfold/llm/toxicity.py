@@ -55,6 +55,8 @@ LONGEST = 24
 TOXIC, CLEAN, LANDMARKS = 1_000, 2_200, 128
 #: Margins that a worker keeps, in two generations, and characters that it scores at once.
 MAX_UNITS, TEXTS_AT_ONCE = 120_000, 1_000_000
+#: Training rows that are worked on at once.
+ROWS_AT_ONCE = 2_048
 
 _DROP = {i: None for i in range(128) if not chr(i).isalpha() and not chr(i).isspace()}
 _SPELT = regex.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
@@ -220,15 +222,19 @@ class Machine:
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float) -> np.ndarray:
     """The linear machine (last number: bias) that minimises |w|^2 / 2 + cost * sum of weighted
-    squared hinge losses, by Newton steps on the rows inside the margin."""
-    x = np.c_[x, np.ones(len(x))]
-    w = np.zeros(x.shape[1])
-    ridge = np.eye(x.shape[1])
+    squared hinge losses, by Newton steps on the rows inside the margin, summed over blocks of rows."""
+    w = np.zeros(x.shape[1] + 1)
+    ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-3
     for _ in range(25):
-        inside = y * (x @ w) < 1
-        xi, ci = x[inside], (2 * cost * weight[inside])[:, None]
-        new = np.linalg.solve(ridge + xi.T @ (xi * ci), (xi * ci).T @ y[inside])
+        left, right = ridge.copy(), np.zeros(len(w))
+        for at in range(0, len(x), ROWS_AT_ONCE):
+            block, goal = np.c_[x[at : at + ROWS_AT_ONCE], np.ones(len(x[at : at + ROWS_AT_ONCE]))], y[at : at + ROWS_AT_ONCE]
+            inside = goal * (block @ w) < 1
+            xi, ci = block[inside], (2 * cost * weight[at : at + ROWS_AT_ONCE][inside])[:, None]
+            left += xi.T @ (xi * ci)
+            right += (xi * ci).T @ goal[inside]
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-6:
             break
         w = new
@@ -294,10 +300,13 @@ def fit(toxic: Iterable[list[str]], clean: Iterable[list[str]], clean_weight: fl
         gapped = {with_insertion(shown(u), rng): n / 2 for u, n in positives.items() if len(u) > 3 for _ in range(2)}
         gapped = {u: n for u, n in gapped.items() if u not in positives and u not in in_clean}
         rows = [*positives, *gapped, *negatives]
-        x = products([shown(u) for u in rows], held, base) @ to_features
+        x = np.empty((len(rows), to_features.shape[1]))
+        for at in range(0, len(rows), ROWS_AT_ONCE):
+            x[at : at + ROWS_AT_ONCE] = products([shown(u) for u in rows[at : at + ROWS_AT_ONCE]], held, base) @ to_features
         y = np.r_[np.ones(len(positives) + len(gapped)), -np.ones(len(negatives))]
         weight = np.r_[list(positives.values()), list(gapped.values()), [max(0.3, in_clean[u] * ratio) for u in negatives]]
         w = squared_hinge(x, y, np.minimum(weight, 20.0), 1.0)
+        del x
         table = np.zeros(LETTERS**3)
         table[held] = (to_features @ w[:-1]) @ base
         machine = Machine(table, w[-1])
