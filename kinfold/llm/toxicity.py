@@ -241,9 +241,9 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float)
     return w
 
 
-def _first_guess(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]:
+def _first_guess(toxic: list[tuple[str, ...]], clean: list[tuple[str, ...]]) -> dict[str, float]:
     """How much more often stretches of four and five letters stand in toxic than in clean texts."""
-    def stretches(text: set[str]) -> set[str]:
+    def stretches(text: tuple[str, ...]) -> set[str]:
         return {u[i : i + n] for u in text for n in (4, 5) for i in range(len(u) - n + 1)}
 
     bad: Counter = Counter()
@@ -274,9 +274,10 @@ def fit(toxic: Iterable[list[str]], clean: Iterable[list[str]], clean_weight: fl
     """Trains on the units of toxic and of clean texts."""
     rng = np.random.default_rng(seed)
     same: dict[str, str] = {}  # one string object for each unit, however many texts hold it
-    bad, good = ([{same.setdefault(u, u) for u in t} for t in texts if t] for texts in (toxic, clean))
+    bad, good = ([tuple(dict.fromkeys(same.setdefault(u, u) for u in t)) for t in texts if t] for texts in (toxic, clean))
     in_clean = Counter(u for t in good for u in t)
     pool, own = sorted(in_clean), sorted(set().union(*bad))
+    del same
     guess = _first_guess(bad, good)
     value = {u: guessed(u, guess) for u in own}
     long_, machine = sorted(u for u in {*own, *pool} if len(u) > LONGEST), None
