@@ -29,6 +29,8 @@ and ``predicted``, which are replaced.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import heapq
 import math
 import unicodedata
@@ -342,6 +344,12 @@ def held_out(id_column: Column) -> Column:
     return F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(5)) == 0
 
 
+def hand_back() -> None:
+    """Memory that fitting has freed goes back to the system, where the C library (glibc) can do that."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def train(texts: DataFrame, labels: DataFrame) -> Machine | None:
     """A machine from (id, text) and (id, toxic): at most about TOXIC and CLEAN texts, drawn by a hash
     of id.  The drawn labels, so many at most, go to the texts, which stay where they are; of an id
@@ -365,7 +373,10 @@ def train(texts: DataFrame, labels: DataFrame) -> Machine | None:
     if not bad or not good:
         return None
     share = sizes[0] / sizes[1] * len(bad) / len(good)
-    return fit((u.split(" ") for u in bad), (u.split(" ") for u in good), clean_weight=share)
+    machine = fit((u.split(" ") for u in bad), (u.split(" ") for u in good), clean_weight=share)
+    del rows, bad, good
+    hand_back()
+    return machine
 
 
 def probability_of(spark, machine: Machine | None, text: Column) -> Column:
