@@ -32,6 +32,6 @@ def char_grams(c: Column, least: int = 3, most: int = 5) -> Column:
     return F.flatten(F.transform(words, of_word))
 
 
-def channel_terms(channel: str) -> Column:
-    view, kind = CHANNEL_VIEWS[channel]
-    return char_grams(F.col(view)) if kind == "grams" else tokens(F.col(view))
+def channel_terms(channel: str, c: Column) -> Column:
+    """The terms of a text of the view that a channel reads."""
+    return char_grams(c) if CHANNEL_VIEWS[channel][1] == "grams" else tokens(c)

@@ -40,8 +40,8 @@ def placed(rows: DataFrame, by_partition: bool = False) -> DataFrame:
     return rows.join(F.broadcast(starts), "block").withColumn("row", F.col("start") + F.col("at") - F.col("first")).drop("block", "at", "first", "start")
 
 
-def normalise(rows: DataFrame, source: int, rules: dict[str, str] | None = None) -> DataFrame:
-    """Records of rows (rid, entity_id, business_name, business_address, country).
+def normalise(rows: DataFrame, source: int, rules: dict[str, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records of rows (rid, entity_id, business_name, business_address, country), with the columns ``keep``.
 
     One step a projection: a step reads its text more than once, so nested steps would multiply.
     """
@@ -51,7 +51,7 @@ def normalise(rows: DataFrame, source: int, rules: dict[str, str] | None = None)
     col = lambda f, view: F.col(f"{f}_{view}")
     words = lambda f, view: F.array_join(T.tokens(col(f, view)), " ")
     steps = rows.select(
-        "rid", F.col("entity_id").alias("eid"), F.lit(source).alias("source"), T.unicode_view(T.missing_clean(F.col("country"))).alias("land"),
+        "rid", *keep, F.col("entity_id").alias("eid"), F.lit(source).alias("source"), T.unicode_view(T.missing_clean(F.col("country"))).alias("land"),
         *[F.coalesce(F.col(f"business_{f}"), F.lit("")).alias(f"{f}_raw") for f in fields],
     )
     steps = steps.withColumns({"country": F.array_join(T.tokens(F.col("land")), " "), **both("uni", lambda f: T.unicode_view(col(f, "raw")))})
@@ -68,8 +68,22 @@ def normalise(rows: DataFrame, source: int, rules: dict[str, str] | None = None)
         views = {"raw": "raw", "uni": "unicode", "cons": "conservative", "translit": "transliterated", "folded": "accent_folded", "roman": "roman", "corrected": "corrected", "core": "core", "legal": "legal"}
         return F.struct(*[col(f, v).alias(n) for v, n in views.items()], (col(f, "cons") != "").alias("has"), T.script_profile(col(f, "uni")).alias("script")).alias(f)
 
-    made = steps.select("rid", "eid", "source", "country", *[field(f) for f in fields])
-    return made.select("rid", "eid", "source", "country", F.col("name.core").alias("name_key"), (~F.col("address.has")).cast("int").alias("missing"), "name", "address")
+    made = steps.select("rid", *keep, "eid", "source", "country", *[field(f) for f in fields])
+    return made.select("rid", *keep, "eid", "source", "country", F.col("name.core").alias("name_key"), (~F.col("address.has")).cast("int").alias("missing"), "name", "address")
+
+
+def normalised(rows: DataFrame, source: int, rules: dict[str, str] | None = None, share: float = 0.5) -> DataFrame:
+    """``normalise`` of many rows: where less than ``share`` of them have texts of their own, by an estimate
+    in one pass, equal texts are normalised once and joined to their rows."""
+    said = [F.coalesce(F.col(f), F.lit("")).alias(f"said_{f}") for f in ("business_name", "business_address", "country")]
+    texts = [f"said_{f}" for f in ("business_name", "business_address", "country")]
+    plain = rows.select("rid", F.col("entity_id").alias("eid"), *said)
+    seen = plain.agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(*texts)).alias("own")).first()
+    if seen.own >= share * seen.n:
+        return normalise(rows, source, rules)
+    once = plain.select(*texts).distinct().select(*texts, F.lit(0).cast("long").alias("rid"), F.lit("").alias("entity_id"), *[F.col(t).alias(t.removeprefix("said_")) for t in texts])
+    views = normalise(once, source, rules, tuple(texts)).drop("rid", "eid")
+    return plain.join(views, texts).select("rid", "eid", "source", "country", "name_key", "missing", "name", "address")
 
 
 def row_violations(rows: DataFrame, source: int) -> DataFrame:
@@ -91,7 +105,7 @@ def ingest(sources: dict[int, DataFrame], rules: dict[str, str] | None = None) -
     """All sources as one table of records; raises on any violation."""
     for source, rows in sources.items():
         require_none(row_violations(rows, source))
-    records = reduce(DataFrame.unionByName, [normalise(number(rows, s), s, rules) for s, rows in sources.items()])
+    records = reduce(DataFrame.unionByName, [normalised(number(rows, s), s, rules) for s, rows in sources.items()])
     require_none(duplicate_ids(records))
     return records
 

@@ -203,6 +203,38 @@ def test_top_k_against_brute_force(spark, sample, channel):
     assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=2e-9) for k in got)
 
 
+HEADER = "rid long, entity_id string, business_name string, business_address string, country string"
+
+
+def copied_records(spark, copies=12):
+    """Three wordings of names, each ``copies`` times in the targets and twice in the queries."""
+    first, second = "blue green old red small tall".split(), "bakery mill press forge dairy tannery".split()
+    names = [f"{first[j % 6]} {second[(j + j // 6) % 6]}" for j in range(12)]
+    rows = lambda s, n: spark.createDataFrame([(s * 1000 + 12 * i + j, f"S{s}-{12 * i + j}", x, f"{j} Elm Road", "US") for i in range(n) for j, x in enumerate(names)], HEADER)
+    return records.normalised(rows(1, 2), 1).unionByName(records.normalised(rows(2, copies), 2)).unionByName(records.normalised(rows(3, 1), 3)), rows
+
+
+@pytest.mark.parametrize("channel", ["rare", "char", "address"])
+def test_equal_texts_are_indexed_once(spark, channel):
+    recs = copied_records(spark)[0].cache()
+    made = index.Index(recs, (channel,))
+    assert made.vectors.where("source = 2").count() == 12 and made.members.where("source = 2").agg(F.max(F.size("ts"))).first()[0] == 12
+    got = {(r.q, r.t): r.score for r in index.top_k(recs.where("source = 1"), made, {channel: 7}).collect()}
+    want = brute_top(recs.collect(), channel, 7)
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=2e-9) for k in got)
+    assert made.of_records(recs).select("t").distinct().count() > made.vectors.count()
+    with pytest.raises(ValueError):
+        index.top_k(recs.where("source = 1"), made, {channel: index.KEEP + 1})
+
+
+def test_equal_records_are_normalised_once(spark):
+    recs, rows = copied_records(spark)
+    plain = records.normalise(rows(2, 12), 2)
+    assert sorted(map(str, recs.where("source = 2").collect())) == sorted(map(str, plain.collect()))
+    odd = spark.createDataFrame([(i, f"S2-{i}", None if i % 2 else "A", None, None if i % 3 else "") for i in range(40)], HEADER)
+    assert sorted(map(str, records.normalised(odd, 2).collect())) == sorted(map(str, records.normalise(odd, 2).collect()))
+
+
 def test_retrieval_finds_the_truth(spark, sample):
     recs, queries, truth = sample
     whole = retrieve.retrieve(recs, ("char", "rare", "translit", "address"), k=40)
