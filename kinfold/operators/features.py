@@ -55,7 +55,9 @@ def rare_overlap(a: Column, b: Column) -> Column:
 
 
 def with_records(candidates: DataFrame, records: DataFrame, table: DataFrame) -> DataFrame:
-    """Candidates with the query's struct ``a`` and the target's ``b``."""
+    """Candidates with the query's struct ``a`` and the target's ``b``; records in no pair are left out first."""
+    wanted = candidates.select(F.col("q").alias("rid")).unionByName(candidates.select(F.col("t").alias("rid"))).distinct()
+    records = records.join(wanted, "rid", "left_semi")
     r = prepared(records).join(word_weights(records, table), "rid", "left")
     r = r.select("rid", F.col("r").withField("weights", F.col("weights")).alias("r"))
     queries = r.where("r.source = 1").select(F.col("rid").alias("q"), F.col("r").alias("a"))

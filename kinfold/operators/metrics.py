@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.operators.fuse import fuse
+from kinfold.operators.store import saved
 
 
 def require_scores(scored: DataFrame) -> None:
@@ -116,11 +117,23 @@ def evaluate(universe: DataFrame, truth: DataFrame, scored: DataFrame, threshold
     )
 
 
-def retrieval_report(universe: DataFrame, truth: DataFrame, candidates: DataFrame, hits: DataFrame, overflow: DataFrame) -> DataFrame:
+def reached(universe: DataFrame, truth: DataFrame, found: DataFrame, alike: DataFrame | None = None) -> DataFrame:
+    """(q, m, candidates, hit, oracle) of every query, without scores.  With (q, first) ``alike``, ``found`` is
+    what the first of queries that are alike found; it isn't copied to the others, only counted."""
+    same = universe.select("q", F.col("q").alias("first")) if alike is None else alike
+    own = found.select(F.col("q").alias("first"), "t").distinct()
+    m = truth.groupBy("q").agg(F.count("*").alias("m"))
+    hit = truth.join(same, "q").join(own, ["first", "t"], "left_semi").groupBy("q").agg(F.count("*").alias("hit"))
+    n = same.join(own.groupBy("first").agg(F.count("*").alias("candidates")), "first").select("q", "candidates")
+    rows = universe.select("q").join(m, "q", "left").join(n, "q", "left").join(hit, "q", "left").fillna(0)
+    return rows.withColumn("oracle", ceiling(F.col("hit"), F.col("m")))
+
+
+def retrieval_report(universe: DataFrame, truth: DataFrame, candidates: DataFrame, hits: DataFrame, overflow: DataFrame, alike: DataFrame | None = None) -> DataFrame:
     """One row about the candidates of all queries: how many, how far a perfect choice could go before
     and after the cut, and nearest-rank percentiles of how many a query has."""
-    rows = per_query(universe, truth, candidates.select("q", "t", F.lit(1.0).alias("p")), 0.0)
-    before = per_query(universe, truth, hits.select("q", "t").distinct().withColumn("p", F.lit(1.0)), 0.0).agg(F.avg("oracle").alias("precap_oracle"))
+    rows = reached(universe, truth, candidates, alike)
+    before = reached(universe, truth, hits, alike).agg(F.avg("oracle").alias("precap_oracle"))
     many = overflow.join(universe, "q", "left_semi").agg(F.count("*").alias("exact_overflows"))
     report = rows.agg(
         F.count("*").alias("queries"),
@@ -134,11 +147,11 @@ def retrieval_report(universe: DataFrame, truth: DataFrame, candidates: DataFram
     return report.join(F.broadcast(before)).join(F.broadcast(many))
 
 
-def budget_curve(universe: DataFrame, truth: DataFrame, hits: DataFrame, values: tuple[int, ...] = (5, 10, 20, 40, 60, 100)) -> DataFrame:
+def budget_curve(universe: DataFrame, truth: DataFrame, hits: DataFrame, values: tuple[int, ...] = (5, 10, 20, 40, 60, 100), alike: DataFrame | None = None) -> DataFrame:
     """(k, queries, pairs, oracle, mean_k, max_k, pair_recall) with the candidates cut at each k."""
     out = None
     for k in values:
-        rows = per_query(universe, truth, fuse(hits, k).select("q", "t", F.lit(1.0).alias("p")), 0.0)
+        rows = reached(universe, truth, saved(fuse(hits, k)), alike)
         one = rows.agg(
             F.lit(k).alias("k"), F.count("*").alias("queries"), F.sum("candidates").alias("pairs"), F.avg("oracle").alias("oracle"), F.avg("candidates").alias("mean_k"),
             F.max("candidates").alias("max_k"), F.try_divide(F.sum("hit"), F.sum("m")).alias("pair_recall"),

@@ -107,11 +107,12 @@ def grouped_oof(rows: DataFrame, folds: int = 3, trees: int = FOLD_TREES, featur
     return out.drop("fold")
 
 
-def hard_negatives(scored: DataFrame, truth: DataFrame, splits: DataFrame, cap: int = 100_000) -> DataFrame:
-    """For each query the false candidate with the highest p, at most ``cap`` by q; refuses queries
+def hard_negatives(scored: DataFrame, truth: DataFrame, splits: DataFrame, cap: int | None = 100_000) -> DataFrame:
+    """For each query the false candidate with the highest p, at most ``cap`` by q, or all; refuses queries
     that aren't in 'fit'."""
     if scored.select("q").distinct().join(splits.where("split = 'fit'"), "q", "left_anti").limit(1).count():
         raise ValueError("hard negatives may only be mined on 'fit'")
     first = F.row_number().over(Window.partitionBy("q").orderBy(F.col("p").desc(), "t"))
     false = scored.join(truth.select("q", "t"), ["q", "t"], "left_anti")
-    return false.withColumn("first", first).where("first = 1").drop("first").orderBy("q").limit(cap)
+    found = false.withColumn("first", first).where("first = 1").drop("first")
+    return found if cap is None else found.orderBy("q").limit(cap)

@@ -227,6 +227,39 @@ def test_equal_texts_are_indexed_once(spark, channel):
         index.top_k(recs.where("source = 1"), made, {channel: index.KEEP + 1})
 
 
+@pytest.mark.parametrize("mode", ["name", "joint"])
+def test_equal_word_sets_are_sketched_once(spark, mode, monkeypatch):
+    recs, rows = copied_records(spark)
+    if mode == "name":
+        recs = recs.where("source = 1").unionByName(records.normalised(rows(2, 12).withColumn("business_address", F.lit("")), 2))
+    recs, seen, banded = recs.cache(), [], retrieve.banded
+    monkeypatch.setattr(retrieve, "banded", lambda df: seen.append(df.count()) or banded(df))
+    got = {(r.q, r.t): r.score for r in retrieve.minhash_hits(recs, mode, 15).collect()}
+    assert seen == [12 if mode == "name" else 24, 12]
+    sets = {r.rid: (r.source, set(r.words), set(r.bands)) for r in retrieve.sketches(recs, mode).collect()}
+    want = {}
+    for q in (q for q, v in sets.items() if v[0] == 1):
+        for source in (2, 3):
+            met = [(-len(sets[q][1] & v[1]) / len(sets[q][1] | v[1]), t) for t, v in sets.items() if v[0] == source and sets[q][2] & v[2]]
+            want |= {(q, t): -s for s, t in sorted(met)[:15]}
+    assert got == pytest.approx(want)
+
+
+def test_queries_that_are_alike_are_asked_once(spark):
+    recs = copied_records(spark)[0].cache()
+    channels, queries = ("rare", "address", "minhash_joint"), recs.where("source = 1")
+    hits, same = retrieve.first_hits(recs, channels)
+    assert same.count() == 24 and {r.q for r in hits.select("q").distinct().collect()} == set(range(1000, 1012))
+    found = lambda df: sorted((r.q, r.t, r.mask, r.position) for r in df.collect())
+    later = retrieve.retrieve(recs.where("source <> 1").unionByName(queries.where("rid >= 1012")), channels, 5)
+    assert found(retrieve.retrieve(recs, channels, 5).where("q >= 1012")) == found(later)
+    universe, truth = queries.select(F.col("rid").alias("q")), spark.createDataFrame([(1000 + i, 2000 + i) for i in range(20)], "q long, t long")
+    whole, none = retrieve.for_all(hits, same), recs.select("rid").limit(0).withColumnRenamed("rid", "q")
+    report = lambda h, *more: metrics.retrieval_report(universe, truth, fuse.fuse(h, 5), h, none, *more).collect()
+    assert report(hits, same) == report(whole)
+    assert sorted(map(str, metrics.budget_curve(universe, truth, hits, (2, 5), same).collect())) == sorted(map(str, metrics.budget_curve(universe, truth, whole, (2, 5)).collect()))
+
+
 def test_equal_records_are_normalised_once(spark):
     recs, rows = copied_records(spark)
     plain = records.normalise(rows(2, 12), 2)
