@@ -68,6 +68,22 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A stable order of ids in the lexicon, which have 16 bits, the distinct ids, and where each begins."""
+    order = np.argsort(ids.astype(np.uint16), kind="stable")
+    laid = ids[order]
+    first = np.flatnonzero(np.r_[True, laid[1:] != laid[:-1]])
+    return order, laid[first], first
+
+
+def row_max(x: np.ndarray) -> np.ndarray:
+    """The greatest of each row, by halves."""
+    while x.shape[1] % 2 == 0:
+        half = x.shape[1] // 2
+        x = np.maximum(x[:, :half], x[:, half:])
+    return x[:, 0] if x.shape[1] == 1 else x.max(1)
+
+
 class Lexicon:
     """The known words, their classes, and how likely each is in its class."""
 
@@ -91,11 +107,21 @@ class Lexicon:
         """A random vector for each word, unknown and no word included."""
         return np.random.default_rng(4).normal(0, 1, (len(self.words) + 2, COMPANY)).astype(np.float32)
 
-    def company(self, tokens: np.ndarray, near: np.ndarray) -> np.ndarray:
+    def company(self, tokens: np.ndarray, near: np.ndarray, directions: np.ndarray) -> np.ndarray:
         """For each known word the sum of its neighbours' vectors."""
-        known = tokens < len(self.words)
-        around = self.directions()[near[known]].sum(1)
-        return np.stack([np.bincount(tokens[known], around[:, d], len(self.words)) for d in range(COMPANY)], 1).astype(np.float32)
+        total = np.zeros((len(self.words), COMPANY))
+        for at in range(0, len(tokens), 8192):
+            mine = tokens[at : at + 8192]
+            known = np.flatnonzero(mine < len(self.words))
+            if not len(known):
+                continue
+            order, own, first = runs(mine[known])
+            places = near[at : at + 8192].take(known[order], 0)
+            around = directions.take(places[:, 0], 0)
+            for i in range(1, places.shape[1]):
+                around += directions.take(places[:, i], 0)
+            total[own] += np.add.reduceat(around, first, axis=0)
+        return total.astype(np.float32)
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Places in the lexicon; one past the end for unknown words."""
@@ -157,7 +183,7 @@ class Network:
     def log_probability(self, tokens: np.ndarray, near: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
         """log p(token | both sides) for each token."""
         _, _, bias, out, prior = self.weights
-        result = np.empty(len(tokens))
+        result, ones = np.empty(len(tokens)), np.ones(CLASSES, np.float32)
         for at in range(0, len(tokens), 8192):
             mine = slice(at, at + 8192)
             hidden = bias + tables[0].take(near[mine, 0], 0)
@@ -165,32 +191,34 @@ class Network:
                 hidden += tables[i].take(near[mine, i], 0)
             logits = np.tanh(hidden) @ out + prior
             chosen = logits[np.arange(len(logits)), self.lexicon.classes[tokens[mine]]]
-            logits -= (top := logits.max(1))[:, None]
+            logits -= (top := row_max(logits))[:, None]
             np.exp(logits, out=logits)
-            result[mine] = chosen - top - np.log(logits.sum(1))
+            result[mine] = chosen - top - np.log(logits @ ones)
         return result + self.lexicon.inside[tokens]
 
     def train(self, tokens: np.ndarray, near: np.ndarray, squares: list[np.ndarray]) -> None:
         """Adagrad steps over the tokens; ``squares`` is carried on."""
         emb, mix, bias, out, prior = self.weights
+        ones = np.ones(CLASSES, np.float32)
         for at in range(0, len(tokens), BATCH):
             places, target = near[at : at + BATCH], self.lexicon.classes[tokens[at : at + BATCH]]
             n = len(target)
-            x = emb[places].reshape(n, -1)
+            x = emb.take(places.ravel(), 0).reshape(n, -1)
             hidden = np.tanh(x @ mix + bias)
             p = hidden @ out + prior
-            p = np.exp(p - p.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
+            p -= row_max(p)[:, None]
+            np.exp(p, out=p)
+            p /= (p @ ones)[:, None]
             p[np.arange(n), target] -= 1
             p /= n
             back = (p @ out.T) * (1 - hidden**2)
             flat = places.ravel()
-            order = np.argsort(flat, kind="stable")
-            own, first = np.unique(flat[order], return_index=True)
-            slope = np.add.reduceat((back @ mix.T).reshape(-1, WIDTH)[order], first, axis=0)
+            order, own, first = runs(flat)
+            slope = np.add.reduceat((back @ mix.T).reshape(-1, WIDTH).take(order, 0), first, axis=0)
             steps = [x.T @ back, back.sum(0), hidden.T @ p, p.sum(0)]
-            squares[0][own] += slope**2
-            emb[own] -= STEP * slope / np.sqrt(squares[0][own] + 1e-8)
+            squared = squares[0].take(own, 0) + slope**2
+            squares[0][own] = squared
+            emb[own] -= STEP * slope / np.sqrt(squared + 1e-8)
             for w, s, g in zip((mix, bias, out, prior), squares[1:], steps, strict=True):
                 s += g**2
                 w -= STEP * g / np.sqrt(s + 1e-8)
@@ -300,10 +328,11 @@ def gather_company(training: DataFrame, network: Network) -> np.ndarray | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
+        directions = net.lexicon.directions()
         for part, groups in by_part(batches):
             total = np.zeros((len(net.lexicon.words), COMPANY), np.float32)
             for tokens, near in _chosen(net, groups):
-                total += net.lexicon.company(tokens, near)
+                total += net.lexicon.company(tokens, near, directions)
             yield _result(part, 1, total.tobytes())
 
     return averaged(training.mapInArrow(run, RESULT))

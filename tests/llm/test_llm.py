@@ -614,6 +614,23 @@ def test_gradient_of_the_network():
     assert before == pytest.approx(total())
 
 
+def test_company_of_words():
+    """Neighbours' vectors are summed in runs of equal words; known words without a token, and no token that is known."""
+    lexicon = pseudo_lm.Lexicon(np.arange(1, 31, dtype=np.uint64), np.arange(30, 0, -1.0), 900)
+    rng, directions = np.random.default_rng(3), lexicon.directions()
+    tokens, near = rng.integers(0, 31, 500).astype(np.int32), rng.integers(0, 32, (500, 4)).astype(np.int32)
+    tokens[tokens == 7] = 8
+    want = np.zeros((30, pseudo_lm.COMPANY))
+    for t, around in zip(tokens, near, strict=True):
+        if t < 30:
+            want[t] += directions[around].sum(0)
+    got = lexicon.company(tokens, near, directions)
+    assert got.shape == want.shape and np.allclose(got, want, atol=1e-3) and not got[7].any()
+    assert not lexicon.company(np.full(3, 30, np.int32), near[:3], directions).any()
+    order, own, first = pseudo_lm.runs(tokens)
+    assert order.tolist() == np.argsort(tokens, kind="stable").tolist() and own.tolist() == np.unique(tokens).tolist() and (tokens[order][first] == own).all()
+
+
 def test_pseudo_likelihood_learns(spark):
     rng = random.Random(12)
     pairs = [("sun", "shines"), ("rain", "falls"), ("wind", "blows"), ("snow", "melts")]
