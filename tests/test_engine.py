@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -227,6 +228,32 @@ def test_equal_texts_are_indexed_once(spark, channel):
         index.top_k(recs.where("source = 1"), made, {channel: index.KEEP + 1})
 
 
+@pytest.mark.parametrize("verified", [False, True])
+@pytest.mark.parametrize("dense", [0, 10**9])
+def test_whole_parts_agree_with_terms(spark, sample, monkeypatch, dense, verified):
+    """A part scored as a whole, over all terms or over postings and in small blocks, and one met by terms."""
+    recs = copied_records(spark)[0].unionByName(sample[0].where("cast(substring(eid, 4) as int) < 30")).cache()
+    made, budgets = index.Index(recs, ("rare", "char")), {"rare": 7, "char": 5}
+    found = lambda: {(r.channel, r.q, r.t): r.score for r in index.top_k(recs.where("source = 1"), made, budgets, verified).collect()}
+    monkeypatch.setattr(index, "WHOLE", 0)
+    want = found()
+    monkeypatch.setattr(index, "WHOLE", 16_384)
+    monkeypatch.setattr(index, "by_terms", None)
+    monkeypatch.setattr(index, "ASKED", 9)
+    got = found()
+    assert len(want) > 100 and set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=2e-9) for k in got)
+    # blocks of one query, either way
+    monkeypatch.setattr(index, "DENSE", dense)
+    entries = ([0, 0, 1, 3, 3], [0, 2, 1, 0, 1], [0.5, 0.25, 1.0, 0.125, 2.0]), ([0, 0, 1, 2], [0, 1, 2, 1], [1.0, 2.0, 4.0, 0.5])
+    full = [np.zeros((4, 3)), np.zeros((3, 3))]
+    for m, (r, t, w) in zip(full, entries, strict=True):
+        m[r, t] = w
+    for cells in (5, 10**6):
+        monkeypatch.setattr(index, "CELLS", cells)
+        blocks = list(index.part_scores(*[tuple(map(np.array, e)) for e in entries], 4, 3, 3))
+        assert len(blocks) == (4 if cells == 5 else 1) and np.concatenate([b for _, b in blocks]).tolist() == (full[0] @ full[1].T).tolist()
+
+
 @pytest.mark.parametrize("mode", ["name", "joint"])
 def test_equal_word_sets_are_sketched_once(spark, mode, monkeypatch):
     recs, rows = copied_records(spark)
