@@ -25,7 +25,8 @@ def fuse(hits: DataFrame, k: int = 60, coverage: int = 2) -> DataFrame:
     by rrf, then number of channels, then t.
     """
     group = ["q", "channel", "source"]
-    best = hits.groupBy(*group, "t").agg(F.max("score").alias("score"))
+    # a query's hits are brought together once, for all that follows
+    best = hits.repartition("q").groupBy(*group, "t").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.col("score").desc(), "t"))
     ranked = best.withColumn("rank", rank).where(F.col("rank") <= _lookup(BUDGETS))
     per_query = Window.partitionBy("q")

@@ -20,6 +20,8 @@ from kinfold.operators.store import saved
 TEXT_LIMIT, ID_LIMIT = 4096, 128
 #: Records of one source have numbers from source * SOURCE_STEP on.
 SOURCE_STEP = 1 << 48
+#: Bytes of views, by an estimate, that are sent to all tasks at most.
+SENT = 32 << 20
 
 
 def number(rows: DataFrame, source: int) -> DataFrame:
@@ -72,18 +74,39 @@ def normalise(rows: DataFrame, source: int, rules: dict[str, str] | None = None,
     return made.select("rid", *keep, "eid", "source", "country", F.col("name.core").alias("name_key"), (~F.col("address.has")).cast("int").alias("missing"), "name", "address")
 
 
+def narrowed(records: DataFrame, views: dict[str, tuple[str, ...]] | None) -> DataFrame:
+    """``records`` with only these ``views`` of name and address, or all."""
+    if views is None:
+        return records
+    of = lambda f: F.struct(*[F.col(f"{f}.{v}").alias(v) for v in views[f]]).alias(f)
+    return records.select(*[of(c) if c in views else F.col(c) for c in records.columns])
+
+
 def normalised(rows: DataFrame, source: int, rules: dict[str, str] | None = None, share: float = 0.5) -> DataFrame:
-    """``normalise`` of many rows: where less than ``share`` of them have texts of their own, by an estimate
-    in one pass, equal texts are normalised once and joined to their rows."""
-    said = [F.coalesce(F.col(f), F.lit("")).alias(f"said_{f}") for f in ("business_name", "business_address", "country")]
-    texts = [f"said_{f}" for f in ("business_name", "business_address", "country")]
-    plain = rows.select("rid", F.col("entity_id").alias("eid"), *said)
-    seen = plain.agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(*texts)).alias("own")).first()
-    if seen.own >= share * seen.n:
-        return normalise(rows, source, rules)
-    once = plain.select(*texts).distinct().select(*texts, F.lit(0).cast("long").alias("rid"), F.lit("").alias("entity_id"), *[F.col(t).alias(t.removeprefix("said_")) for t in texts])
-    views = normalise(once, source, rules, tuple(texts)).drop("rid", "eid")
-    return plain.join(views, texts).select("rid", "eid", "source", "country", "name_key", "missing", "name", "address")
+    return all_normalised({source: rows}, rules, share)
+
+
+def all_normalised(sources: dict[int, DataFrame], rules: dict[str, str] | None = None, share: float = 0.5, views: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """``normalise`` of all sources: where less than ``share`` of a source's rows have texts of their own, by an
+    estimate in one pass, equal texts are normalised once and joined to their rows; if they are few, their
+    views go to the rows and not the rows to them."""
+    fields = ("business_name", "business_address", "country")
+    texts = [f"said_{f}" for f in fields]
+    plain = {s: rows.select("rid", F.col("entity_id").alias("eid"), *[F.coalesce(F.col(f), F.lit("")).alias(f"said_{f}") for f in fields]) for s, rows in sources.items()}
+    size = sum((F.octet_length(t) for t in texts), F.lit(0))
+    counted = [rows.agg(F.lit(s).alias("source"), F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(*texts)).alias("own"), F.avg(size).alias("bytes")) for s, rows in plain.items()]
+    seen = {r.source: r for r in reduce(DataFrame.unionByName, counted).collect()}
+
+    def of(s: int) -> DataFrame:
+        if seen[s].own >= share * seen[s].n:
+            return narrowed(normalise(sources[s], s, rules), views)
+        once = plain[s].select(*texts).distinct().select(*texts, F.lit(0).cast("long").alias("rid"), F.lit("").alias("entity_id"), *[F.col(t).alias(t.removeprefix("said_")) for t in texts])
+        made = narrowed(normalise(once, s, rules, tuple(texts)).drop("rid", "eid"), views)
+        held = 2 + (sum(map(len, views.values())) if views else 20)
+        made = F.broadcast(made) if seen[s].own * (held * (seen[s].bytes or 0) + 400) <= SENT else made
+        return plain[s].join(made, texts).select("rid", "eid", "source", "country", "name_key", "missing", "name", "address")
+
+    return reduce(DataFrame.unionByName, [of(s) for s in sources])
 
 
 def row_violations(rows: DataFrame, source: int) -> DataFrame:
@@ -105,7 +128,7 @@ def ingest(sources: dict[int, DataFrame], rules: dict[str, str] | None = None) -
     """All sources as one table of records; raises on any violation."""
     for source, rows in sources.items():
         require_none(row_violations(rows, source))
-    records = reduce(DataFrame.unionByName, [normalised(number(rows, s), s, rules) for s, rows in sources.items()])
+    records = all_normalised({s: number(rows, s) for s, rows in sources.items()}, rules)
     require_none(duplicate_ids(records))
     return records
 

@@ -295,6 +295,20 @@ def test_equal_records_are_normalised_once(spark):
     assert sorted(map(str, records.normalised(odd, 2).collect())) == sorted(map(str, records.normalise(odd, 2).collect()))
 
 
+def test_few_texts_are_sent_to_the_rows(spark, monkeypatch):
+    """Views that are few go to the rows, only those that are asked for, and either way the records are the same."""
+    rows = {s: copied_records(spark)[1](s, 12) for s in (1, 2, 3)}
+    views = {"name": ("core", "script"), "address": ("corrected",)}
+    want = sorted(str(r) for s in rows for r in records.narrowed(records.normalise(rows[s], s), views).collect())
+    few = records.all_normalised(rows, views=views)
+    assert sorted(few.schema["name"].dataType.names) == ["core", "script"] and sorted(map(str, few.collect())) == want
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(few).count("strategy=broadcast") == 3
+    monkeypatch.setattr(records, "SENT", 0)
+    many = records.all_normalised(rows, views=views)
+    assert "strategy=broadcast" not in plan(many) and sorted(map(str, many.collect())) == want
+
+
 def test_retrieval_finds_the_truth(spark, sample):
     recs, queries, truth = sample
     whole = retrieve.retrieve(recs, ("char", "rare", "translit", "address"), k=40)
