@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from kinfold.functions.similarity import RATIOS, similarities
 from kinfold.functions.text import address_parts, tokens
 from kinfold.operators.fuse import CHANNELS
+from kinfold.operators.store import saved
+
+#: Record numbers that are sent to all tasks, at most, so that the records of pairs are found without a shuffle.
+NAMED = 500_000
 
 #: The features in their order.
 FEATURES = [
@@ -56,8 +60,8 @@ def rare_overlap(a: Column, b: Column) -> Column:
 
 def with_records(candidates: DataFrame, records: DataFrame, table: DataFrame) -> DataFrame:
     """Candidates with the query's struct ``a`` and the target's ``b``; records in no pair are left out first."""
-    wanted = candidates.select(F.col("q").alias("rid")).unionByName(candidates.select(F.col("t").alias("rid"))).distinct()
-    records = records.join(wanted, "rid", "left_semi")
+    wanted = saved(candidates.select(F.col("q").alias("rid")).unionByName(candidates.select(F.col("t").alias("rid"))).distinct())
+    records = records.join(F.broadcast(wanted) if wanted.count() <= NAMED else wanted, "rid", "left_semi")
     r = prepared(records).join(word_weights(records, table), "rid", "left")
     r = r.select("rid", F.col("r").withField("weights", F.col("weights")).alias("r"))
     queries = r.where("r.source = 1").select(F.col("rid").alias("q"), F.col("r").alias("a"))

@@ -309,6 +309,20 @@ def test_few_texts_are_sent_to_the_rows(spark, monkeypatch):
     assert "strategy=broadcast" not in plan(many) and sorted(map(str, many.collect())) == want
 
 
+def test_records_of_pairs(spark, monkeypatch):
+    """Records are found by numbers that were sent to them, or by a shuffle if there are many; the features are the same."""
+    recs = copied_records(spark)[0].cache()
+    found, table = retrieve.retrieve(recs, ("rare", "address"), 5).cache(), index.word_idf(recs)
+    made = lambda: features.pair_features(found, recs, table)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    few = made()
+    assert "strategy=broadcast" in plan(few.select("name_exact"))
+    monkeypatch.setattr(features, "NAMED", 0)
+    many = made()
+    assert plan(many).count("strategy=broadcast") < plan(few).count("strategy=broadcast")
+    assert few.count() == found.count() and sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
 def test_retrieval_finds_the_truth(spark, sample):
     recs, queries, truth = sample
     whole = retrieve.retrieve(recs, ("char", "rare", "translit", "address"), k=40)
