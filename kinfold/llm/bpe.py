@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from kinfold.llm.shared import slices, tidy
+
 #: Bounds of a worker's tables; a full table is emptied and filled anew, results don't depend on it.
 MAX_PIECES, MAX_PAIRS = 250_000, 400_000
 #: Characters of text encoded at once, and of the longest piece that is kept.
@@ -254,7 +256,7 @@ def _mapped(df: DataFrame, path: str, pattern: str, column: str, add: list[pa.Fi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(shared, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             new = rows(tokenizer, batch.column(batch.schema.get_field_index(column)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, f.type) for v, f in zip(new, add, strict=True)] + [batch.column(batch.schema.get_field_index(c)) for c in kept], [f.name for f in add] + kept
@@ -262,7 +264,7 @@ def _mapped(df: DataFrame, path: str, pattern: str, column: str, add: list[pa.Fi
         tokenizer.young, tokenizer.old = {}, {}  # the worker lives on for other tasks
 
     types = {f.name: f.dataType.simpleString() for f in df.schema}
-    return df.mapInArrow(run, ", ".join([ddl, *(f"`{c}` {types[c]}" for c in kept)]))
+    return df.mapInArrow(tidy(run), ", ".join([ddl, *(f"`{c}` {types[c]}" for c in kept)]))
 
 
 def encode(df: DataFrame, path: str, pattern: str, column: str = "text", ids: str = "ids") -> DataFrame:

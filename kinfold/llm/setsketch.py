@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.components import components
-from kinfold.llm.shared import text_or_empty, written
+from kinfold.llm.shared import slices, text_or_empty, tidy, written
 from kinfold.llm.shingles import mixed, shingle_sets
 
 REGISTERS, BANDS, ROWS = 128, 20, 4
@@ -101,7 +101,7 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
     """(id, t1, t2, n, bands, regs) of (id, t1, t2, text); bands and regs are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, bands, regs = [], [], []
             for s in shingle_sets(batch.column(3).cast(pa.binary()).to_pylist(), words):
                 values = registers(minima(s)) if len(s) else None
@@ -111,7 +111,7 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
             columns = [pa.array(n, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(regs, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *columns], ["id", "t1", "t2", "n", "bands", "regs"])
 
-    return docs.mapInArrow(run, "id long, t1 long, t2 long, n long, bands array<long>, regs binary")
+    return docs.mapInArrow(tidy(run), "id long, t1 long, t2 long, n long, bands array<long>, regs binary")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -124,7 +124,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
             yield p.loc[near, ["a", "b"]]
 
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(tidy(run), "a long, b long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -140,20 +140,20 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield p.loc[linked, ["a", "b"]]
 
     side = lambda x: sets.select(F.col("node").alias(x), F.col("packed").alias(f"set_{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(tidy(run), "a long, b long")
 
 
 def shingle_table(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, packed): the full sets of the wanted (node, t1, t2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             packed = [s.astype("<u8").tobytes() for s in shingle_sets(batch.column(1).cast(pa.binary()).to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["node", "packed"])
 
     wanted = F.broadcast(wanted) if wanted.count() <= FEW else wanted
     texts = docs.join(wanted, ["t1", "t2"]).select("node", "text")
-    return texts.mapInArrow(run, "node long, packed binary").dropDuplicates(["node"])
+    return texts.mapInArrow(tidy(run), "node long, packed binary").dropDuplicates(["node"])
 
 
 def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:

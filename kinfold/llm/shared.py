@@ -9,9 +9,13 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +23,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = "\t\n\x0b\x0c\r "
 
+#: Rows of an Arrow batch that a Python worker turns into objects at once.
+SLICE = 500
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -123,5 +130,30 @@ def bucket_of(value: Column, bounds: list[Column]) -> Column:
     return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve, lambda a: a["lo"])
 
 
+def hand_back() -> None:
+    """Memory that is free goes back to the system, where the C library (glibc) can do that."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches; what it has freed goes back when the task ends, as its worker lives on."""
+
+    @wraps(run)
+    def then_hand_back(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        hand_back()
+
+    return then_hand_back
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of SLICE rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -21,7 +21,7 @@ _INVERSE = pow(_BASE, -1, 2**64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes hashed at once.
-GROUP = 1 << 20
+GROUP = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -29,8 +29,6 @@ and ``predicted``, which are replaced.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import heapq
 import math
 import unicodedata
@@ -44,7 +42,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import text_or_empty
+from kinfold.llm.shared import hand_back, text_or_empty, tidy
 
 DECAY, SPAN, LETTERS = 0.6, 6, 64
 #: Codes: 0 past the end, 1 to 26 a-z, START before the first letter, then those of all other letters.
@@ -344,12 +342,6 @@ def held_out(id_column: Column) -> Column:
     return F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(5)) == 0
 
 
-def hand_back() -> None:
-    """Memory that fitting has freed goes back to the system, where the C library (glibc) can do that."""
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def train(texts: DataFrame, labels: DataFrame) -> Machine | None:
     """A machine from (id, text) and (id, toxic): at most about TOXIC and CLEAN texts, drawn by a hash
     of id.  The drawn labels, so many at most, go to the texts, which stay where they are; of an id
@@ -366,7 +358,7 @@ def train(texts: DataFrame, labels: DataFrame) -> Machine | None:
         for batch in batches:
             yield pd.DataFrame({"id": batch.id, "toxic": batch.toxic, "units": [" ".join(sorted(set(units(t)))) for t in batch.text]})
 
-    found = texts.join(F.broadcast(drawn), "id").select(F.col("id").cast("string").alias("id"), "text", "toxic").mapInPandas(run, "id string, toxic int, units string")
+    found = texts.join(F.broadcast(drawn), "id").select(F.col("id").cast("string").alias("id"), "text", "toxic").mapInPandas(tidy(run), "id string, toxic int, units string")
     one = found.groupBy("id", "toxic").agg(F.min(F.struct(F.xxhash64("units").alias("h"), "units")).alias("one"))
     rows = one.select("toxic", "one.units").toPandas().sort_values(["toxic", "units"])
     bad, good = ([u for u in rows.units[rows.toxic == t] if u] for t in (1, 0))
@@ -392,6 +384,7 @@ def probability_of(spark, machine: Machine | None, text: Column) -> Column:
             found = [here.scores(texts.slice(at, 500).to_pylist()) for at in range(0, len(texts), 500)]
             yield pa.array(np.concatenate([np.empty(0), *found]), pa.float64())
         here.young, here.old = {}, {}  # the worker lives on for other tasks
+        hand_back()
 
     return run(text)
 

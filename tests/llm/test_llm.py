@@ -258,6 +258,18 @@ def test_shingle_sets(k):
     assert np.array_equal(*(next(iter(shingles.shingle_sets([t], k))) for t in (b"One two\tthree", b"one  TWO three\n")))
 
 
+def test_workers_hold_little_and_hand_it_back(monkeypatch):
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(n))}) for n in (0, 3, 2 * shared.SLICE + 7)]
+    cut = list(shared.slices(iter(batches)))
+    assert max(b.num_rows for b in cut) <= shared.SLICE and [x for b in cut for x in b.column(0).to_pylist()] == [x for b in batches for x in b.column(0).to_pylist()]
+    returned = []
+    monkeypatch.setattr(shared, "hand_back", lambda: returned.append(1))
+    assert list(shared.tidy(lambda rows: (2 * x for x in rows))(iter([1, 2]))) == [2, 4] and returned == [1]
+    assert sum(len(p) for p in shingles._Powers().of(100)) * 8 <= 10_000_000  # a worker keeps them
+    texts = [b"One two " * 90_000, b"", b"three  four five six seven eight"]
+    assert [len(s) for s in shingles.shingle_sets(texts, 5)] == [2, 0, 2]
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(5)
     a, b = (rng.integers(0, 2**63, 900, dtype=np.uint64) for _ in range(2))
