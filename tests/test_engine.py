@@ -309,6 +309,14 @@ def test_few_texts_are_sent_to_the_rows(spark, monkeypatch):
     assert "strategy=broadcast" not in plan(many) and sorted(map(str, many.collect())) == want
 
 
+def test_parts_need_no_python_workers(spark):
+    parts = [("rare", "us", 2, 3), ("address", "", 3, 1)]
+    made = index.part_rows(spark, parts)
+    assert [tuple(r) for r in made.collect()] == parts and made.columns == [*index.PART, "blocks"]
+    assert "RDD" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert index.part_rows(spark, []).collect() == [] and index.part_rows(spark, []).schema.simpleString() == made.schema.simpleString()
+
+
 def test_records_of_pairs(spark, monkeypatch):
     """Records are found by numbers that were sent to them, or by a shuffle if there are many; the features are the same."""
     recs = copied_records(spark)[0].cache()
