@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm import bpe, lines, mixing, setsketch, toxicity
-from kinfold.llm.shared import BLANKS, remove, written
+from kinfold.llm.shared import BLANKS, in_few, remove, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     row = F.col("row").withField("text", F.when(cut, F.col("text")).otherwise(F.col("row.text")))
     if "n_chars" in names:
         row = row.withField("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars")))
-    return done.select(row.alias("row")).select("row.*")
+    return in_few(done.select(row.alias("row")).select("row.*"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     stay = docs.join(kept.where("doc_id is not null"), "doc_id", "left_semi")
     first = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")
     one = stay.groupBy("doc_id").agg(first).select("row.*") if has_repeats(docs) else stay
-    return one.unionByName(docs.where("doc_id is null")).select(*[f"`{c}`" for c in docs.columns])
+    return in_few(one.unionByName(docs.where("doc_id is null")).select(*[f"`{c}`" for c in docs.columns]))
 
 
 def has_repeats(docs: DataFrame) -> bool:

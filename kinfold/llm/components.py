@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import remove, written
+from kinfold.llm.shared import remove, written_in_few
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -29,13 +29,13 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): the smallest node it can reach."""
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links, before = written(links), None
+    links, before = written_in_few(links), None
     for _ in range(rounds):
         state = links.agg(F.count("*"), F.sum(F.col("a").cast("decimal(38,0)")), F.sum(F.col("b").cast("decimal(38,0)")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before, old = state, links
-        links = written(_small_star(_large_star(links)))
+        links = written_in_few(_small_star(_large_star(links)))
         remove(old)
     else:
         raise RuntimeError("the components did not settle")

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import BLANKS, ascii_lower, remove, text_or_empty, written
+from kinfold.llm.shared import BLANKS, ascii_lower, in_few, remove, text_or_empty, written, written_in_few
 
 KEY = ["k1", "k2"]
 
@@ -57,7 +57,7 @@ class LineRuns:
 
     @staticmethod
     def _run(df: DataFrame) -> DataFrame:
-        return written(df.sortWithinPartitions(*KEY))
+        return written(in_few(df).sortWithinPartitions(*KEY))
 
     def add(self, batch: DataFrame) -> None:
         """``batch`` has a column ``keys``, one array of line hashes a document."""
@@ -99,13 +99,13 @@ def dropped_positions(docs: DataFrame, min_docs: int, batches: int, fanout: int)
     before the shuffle.
     """
     text = text_or_empty("text")
-    hashes = written(docs.select(*text_hash(text), line_hashes(text).alias("keys")).withColumn("batch", F.pmod("t1", F.lit(batches)).cast("int")), "batch")
+    hashes = written_in_few(docs.select(*text_hash(text), line_hashes(text).alias("keys")).withColumn("batch", F.pmod("t1", F.lit(batches)).cast("int")), "batch")
     runs = LineRuns(min_docs, fanout)
     for batch in range(batches):
         runs.add(hashes.where(F.col("batch") == batch))
-    frequent = written(runs.frequent())
+    frequent = written_in_few(runs.frequent())
     places = hashes.select("t1", "t2", F.posexplode("keys").alias("place", "k")).where("k is not null").select("t1", "t2", "place", "k.k1", "k.k2")
-    return written(places.join(frequent, KEY, "left_semi").groupBy("t1", "t2").agg(F.collect_set("place").alias("dropped")))
+    return written_in_few(places.join(frequent, KEY, "left_semi").groupBy("t1", "t2").agg(F.collect_set("place").alias("dropped")))
 
 
 def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, batches: int = 6, fanout: int = 4) -> DataFrame:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import WORD, hash64, numbered, written
+from kinfold.llm.shared import WORD, hash64, in_few, numbered, written_in_few
 
 #: Hash blocks a source: 2**BLOCK_BITS.
 BLOCK_BITS = 12
@@ -129,18 +129,18 @@ def mix_plan(rows: DataFrame, weights: list[int], share: float, most: int, shard
     blocks = 1 << BLOCK_BITS
     place = F.pmod(F.col("block") * STRIDE + F.col("rank") * STEP, F.lit(blocks))
     rows = rows.withColumn("block", F.shiftrightunsigned("hash", 64 - BLOCK_BITS))
-    counts = written(rows.groupBy("source", "block").agg(F.sum("size").alias("words")))
-    sizes = written(counts.groupBy("source").agg(F.sum("words").alias("source_size")))
+    counts = written_in_few(rows.groupBy("source", "block").agg(F.sum("size").alias("words")))
+    sizes = written_in_few(counts.groupBy("source").agg(F.sum("words").alias("source_size")))
     if sizes.count() > MAX_SOURCES:
         raise ValueError(f"a mix has at most {MAX_SOURCES} sources")
-    goals = written(targets(sizes, weights, share, most))
+    goals = written_in_few(targets(sizes, weights, share, most))
     before = Window.partitionBy("rank").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     line = counts.alias("c").join(goals.alias("g"), F.expr("c.source <=> g.source")).select("g.rank", "c.block", "c.words").withColumn("place", place)
     line = line.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
     passes = goals.select("*", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("pass")).withColumn(
         "cut", F.greatest(F.lit(0.0), F.col("target") - F.col("pass") * F.col("source_size"))
     )
-    passes = written(passes)
+    passes = written_in_few(passes)
     whole = line.join(passes, "rank").select("source", "rank", "pass", "cut", "block", "place", "start", "words")
     cut_blocks = whole.where("start < cut and cut <= start + words")
     in_cut = rows.alias("r").join(cut_blocks.alias("c"), F.expr("r.source <=> c.source and r.block = c.block")).select("c.rank", "c.pass", "c.cut", "c.place", "c.start", "r.hash", "r.size")
@@ -148,14 +148,14 @@ def mix_plan(rows: DataFrame, weights: list[int], share: float, most: int, shard
     middles = in_cut.withColumn("middle", F.col("start") + F.coalesce(F.sum("size").over(ahead), F.lit(0)) + F.col("size") / 2)
     limits = middles.groupBy("rank", "pass").agg(F.first("place").alias("cut_place"), F.max(F.when(F.col("middle") < F.col("cut"), F.col("hash"))).alias("last_hash"))
     quota = F.when(F.col("cut") > 0, F.coalesce(F.col("cut_place") + 1, F.lit(blocks))).otherwise(0).cast("long")
-    ends = written(passes.join(limits, ["rank", "pass"], "left").withColumn("quota", quota))
+    ends = written_in_few(passes.join(limits, ["rank", "pass"], "left").withColumn("quota", quota))
     earlier = Window.partitionBy("rank").orderBy("pass").rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.withColumn("first", F.coalesce(F.sum("quota").over(earlier), F.lit(0)))
     of_source = ends.groupBy("source", "rank", "source_size", "target").agg(
         F.array_sort(F.collect_list(F.struct("pass", "first", "quota", "cut_place", "last_hash"))).alias("passes"), F.sum("quota").alias("blocks")
     )
-    of_source = written(of_source)
-    plan = written(of_source.join(splitting_tree(of_source.select("rank", "blocks"), shards, seed), "rank", "left"))
+    of_source = written_in_few(of_source)
+    plan = written_in_few(of_source.join(splitting_tree(of_source.select("rank", "blocks"), shards, seed), "rank", "left"))
     planned = rows.alias("r").join(plan.alias("s"), F.expr("r.source <=> s.source"), "left").select("r.*", "s.source_size", "s.target", "s.passes", "s.blocks", "s.ends", "s.rank").withColumn("place", place)
     leaf = lambda index: F.size(F.filter("ends", lambda e: e <= index))
 
@@ -178,13 +178,13 @@ def one_change(planned: DataFrame, most: int) -> DataFrame:
     """(source, hash, sign): for each source the one row to take once more or less that brings its sum
     nearest to the target, if any does.  Of all rows one is left a source, so this is a minimum."""
     got = planned.groupBy("source", "target").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
-    need = written(got.select("source", (F.col("target") - F.col("got")).alias("need")))
+    need = written_in_few(got.select("source", (F.col("target") - F.col("got")).alias("need")))
     each = planned.where("size > 0").alias("a").join(need.alias("n"), F.expr("a.source <=> n.source")).select("a.source", "a.hash", "a.copies", "a.size", "n.need")
     sign = F.when((F.col("need") > 0) & (F.col("copies") < most), 1).when((F.col("need") < 0) & (F.col("copies") > 0), -1)
     left = F.abs(F.col("need") - F.col("sign") * F.col("size"))
     better = each.withColumn("sign", sign).withColumn("left", left).where(F.col("left") < F.abs("need"))
     best = better.groupBy("source").agg(F.min(F.struct("left", "hash", "sign")).alias("best"))
-    return written(best.select("source", "best.hash", "best.sign"))
+    return written_in_few(best.select("source", "best.hash", "best.sign"))
 
 
 def row_hash(seed: int, doc_id: Column, text: Column) -> Column:
@@ -205,22 +205,22 @@ def mix(docs: DataFrame, weights: list[int], share: float = 1.5, most: int = 2,
     each shard (sorted by a hash in its partition).  Other columns stay as they are."""
     names = [f"`{c}`" for c in docs.columns if c != "mix_shard"]
     rows = docs.select(F.struct(*names).alias("row"), F.col("source"), word_count().alias("size"), row_hash(seed, F.col("doc_id"), F.col("text")).alias("hash"))
-    light = written(rows.select("source", "size", "hash", F.monotonically_increasing_id().alias("__row")))
-    repeated = written(light.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
+    light = written_in_few(rows.select("source", "size", "hash", F.monotonically_increasing_id().alias("__row")))
+    repeated = written_in_few(light.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
     n, whole = repeated.count(), rows.select("row", "hash")
     if n:
         some = F.broadcast(repeated) if n <= FEW else repeated
-        many = written(whole.join(some, "hash", "left_semi").withColumn("__row", F.monotonically_increasing_id()))
+        many = written_in_few(whole.join(some, "hash", "left_semi").withColumn("__row", F.monotonically_increasing_id()))
         whole = whole.join(some, "hash", "left_anti").select("row", "hash").unionByName(distinct_hashes(many).select("row", "hash"))
-    plan = mix_plan(written(distinct_hashes(light)), weights, share, most, shards, seed).where("copies > 0").select("hash", "shards")
+    plan = mix_plan(written_in_few(distinct_hashes(light)), weights, share, most, shards, seed).where("copies > 0").select("hash", "shards")
     copies = whole.join(plan, "hash").select("row", "hash", F.posexplode("shards").alias("copy", "mix_shard"))
-    return copies.withColumn("order", F.xxhash64("hash", "copy", F.lit(seed))).sortWithinPartitions("mix_shard", "order").select("row.*", "mix_shard")
+    return in_few(copies.withColumn("order", F.xxhash64("hash", "copy", F.lit(seed)))).sortWithinPartitions("mix_shard", "order").select("row.*", "mix_shard")
 
 
 def op8_splitting_tree_mix(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     light = docs.select("doc_id", "source", word_count().alias("size"), row_hash(7, F.col("doc_id"), F.col("text")).alias("hash"), F.monotonically_increasing_id().alias("__row"))
-    plan = mix_plan(written(distinct_hashes(written(light))), [3, 1, 2], 1.5, 2, 8, 7)
+    plan = mix_plan(written_in_few(distinct_hashes(written_in_few(light))), [3, 1, 2], 1.5, 2, 8, 7)
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 

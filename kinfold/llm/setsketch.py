@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.components import components
-from kinfold.llm.shared import slices, text_or_empty, tidy, written
+from kinfold.llm.shared import slices, text_or_empty, tidy, written_in_few
 from kinfold.llm.shingles import mixed, shingle_sets
 
 REGISTERS, BANDS, ROWS = 128, 20, 4
@@ -187,7 +187,7 @@ def open_buckets(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, Data
     known = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     parts = known.groupBy("key", "component").agg(F.count("*").alias("size"))
     buckets = parts.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most"))
-    return known, written(buckets.where(F.col("all") > F.col("most")))
+    return known, written_in_few(buckets.where(F.col("all") > F.col("most")))
 
 
 def more_stars(known: DataFrame, buckets: DataFrame, turn: int) -> DataFrame:
@@ -217,13 +217,13 @@ def rest_of_buckets(known: DataFrame, buckets: DataFrame, nodes: DataFrame, sets
     outside = F.col("component") != F.col("main")
     counted = sizes.groupBy("key").agg(F.first("main").alias("main"), F.count("*").alias("all"), F.sum("bytes").alias("all_bytes"), F.count_if(outside).alias("some"), F.sum(F.when(outside, F.col("bytes"))).alias("some_bytes"))
     cut = lambda n, b: F.greatest(F.ceil(F.col(n) / BLOCK), F.ceil(F.col(b) / BLOCK_BYTES)).cast("int")
-    blocks = written(counted.select("key", "main", cut("all", "all_bytes").alias("held"), cut("some", "some_bytes").alias("asking")))
-    rows = written(known.join(blocks, "key"))
+    blocks = written_in_few(counted.select("key", "main", cut("all", "all_bytes").alias("held"), cut("some", "some_bytes").alias("asking")))
+    rows = written_in_few(known.join(blocks, "key"))
     salt = lambda c: F.pmod(F.xxhash64(F.lit(13), "node"), F.col(c)).cast("int")
     span = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     asks = rows.where("component <> main").select("key", "node", "component", F.lit(True).alias("asks"), salt("asking").alias("x"), span("held").alias("y"))
     held = rows.select("key", "node", "component", F.lit(False).alias("asks"), span("asking").alias("x"), salt("held").alias("y"))
-    sketches = written(nodes.select("node", "n", "bands", "regs").join(rows.select("node").distinct(), "node"))
+    sketches = written_in_few(nodes.select("node", "n", "bands", "regs").join(rows.select("node").distinct(), "node"))
 
     def likely_pairs(q: pd.DataFrame, h: pd.DataFrame) -> np.ndarray:
         """Which of the pairs are in different components, share this bucket first and are likely."""
@@ -256,7 +256,7 @@ def rest_of_buckets(known: DataFrame, buckets: DataFrame, nodes: DataFrame, sets
         return pd.DataFrame({"a": q.node.to_numpy()[x], "b": h.node.to_numpy()[y]})
 
     place = "key long, node long, component long, asks boolean, x int, y int"
-    some = written(asks.unionByName(held).join(sketches, "node").groupBy("key", "x", "y").applyInPandas(likely_members, place))
+    some = written_in_few(asks.unionByName(held).join(sketches, "node").groupBy("key", "x", "y").applyInPandas(likely_members, place))
     full = some.join(sketches, "node").join(sets, "node")
     return full.groupBy("key", "x", "y").applyInPandas(linked_pairs, "a long, b long").distinct()
 
@@ -265,19 +265,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     """One row a document: id, n_shingles, component_id, kept (whether it stands for its group)."""
     text = text_or_empty(column)
     docs = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.lit(21), text).alias("t1"), F.xxhash64(F.lit(22), text).alias("t2"), text.alias("text"))
-    rows = written(sketched(docs, words))
+    rows = written_in_few(sketched(docs, words))
     nodes = rows.where("n > 0 and id is not null").groupBy("t1", "t2").agg(F.min("id").alias("least_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("regs").alias("regs"))
-    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbers of their own, fixed by the write
+    nodes = written_in_few(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbers of their own, fixed by the write
     members = nodes.select("node", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("first")).where("size > 1")
-    buckets = written(buckets)
-    members = written(members.join(buckets.select("key", F.col("first.node").alias("centre")), "key"))
+    buckets = written_in_few(buckets)
+    members = written_in_few(members.join(buckets.select("key", F.col("first.node").alias("centre")), "key"))
     wanted = members.select("node").distinct().join(nodes.select("node", "t1", "t2"), "node")
-    sets = written(shingle_table(docs, written(wanted), words))
+    sets = written_in_few(shingle_table(docs, written_in_few(wanted), words))
     stars = members.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     members = members.select("key", "node")
-    links = written(confirmed(likely(stars, nodes, percent / 100), sets, percent))
-    labels = written(labelled(links))
+    links = written_in_few(confirmed(likely(stars, nodes, percent / 100), sets, percent))
+    labels = written_in_few(labelled(links))
     known, left = open_buckets(members, labels)
     for turn in range(STARS + 1):
         if not left.limit(1).count():
@@ -286,11 +286,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
             more = confirmed(likely(more_stars(known, left, turn), nodes, percent / 100), sets, percent)
         else:
             more = rest_of_buckets(known, left, nodes, sets, percent)
-        links = links.unionByName(written(more))
-        labels = written(labelled(links))
+        links = links.unionByName(written_in_few(more))
+        labels = written_in_few(labelled(links))
         known, left = open_buckets(members, labels) if turn < STARS else (known, left)
     groups = nodes.select("node", "t1", "t2", "least_id").join(labels, "node", "left")
-    groups = written(groups.select("t1", "t2", "least_id", F.coalesce("component", "node").alias("component")))
+    groups = written_in_few(groups.select("t1", "t2", "least_id", F.coalesce("component", "node").alias("component")))
     # a component may hold a third of all texts, so its members look its name up at SALTS places
     names = groups.groupBy("component").agg(F.min("least_id").alias("name")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     of_text = groups.withColumn("salt", F.pmod("t1", F.lit(SALTS)).cast("int")).join(names, ["component", "salt"]).select("t1", "t2", "name")

@@ -26,6 +26,9 @@ BLANKS = "\t\n\x0b\x0c\r "
 #: Rows of an Arrow batch that a Python worker turns into objects at once.
 SLICE = 500
 
+#: Bytes read for each file written: FILE where there are more than CORE_FILES files a core, else at least LEAST.
+FILE, LEAST, CORE_FILES = 2_000_000, 64_000, 2
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -55,6 +58,23 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_few(df: DataFrame) -> DataFrame:
+    """``df`` in as few partitions as the bytes it reads call for, and never in more than it has.
+
+    For each file on a local disk Hadoop without its native library starts ``chmod`` three times,
+    each for a moment a second process with all of the executor's memory, and a small table dealt
+    over hundreds of partitions would be as many files.  What Spark can't tell the size of counts as large.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    read = sum(leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    spread = min(CORE_FILES * df.sparkSession.sparkContext.defaultParallelism, -(-read // LEAST))
+    return df.coalesce(min(max(1, spread, -(-read // FILE)), 2**31 - 1))
+
+
+def written_in_few(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    return written(in_few(df), partition_by)
+
+
 def remove(df: DataFrame) -> None:
     """Deletes the files under a table that ``written`` made, once nothing reads it any more."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

@@ -270,6 +270,28 @@ def test_workers_hold_little_and_hand_it_back(monkeypatch):
     assert [len(s) for s in shingles.shingle_sets(texts, 5)] == [2, 0, 2]
 
 
+def test_small_tables_are_few_files(spark, docs, monkeypatch):
+    held = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        most = shared.CORE_FILES * spark.sparkContext.defaultParallelism
+        found = components.components(spark.range(2_000).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b")))
+        assert len(found.inputFiles()) <= most and found.agg(F.count("*"), F.sum("component")).first() == (2_000, sum(i % 7 for i in range(2_000)))
+        assert len(lines.dropped_positions(docs, 2, 2, 4).inputFiles()) <= most
+        for stage in (corpus_pipeline.drop_repeated_lines, corpus_pipeline.drop_near_duplicates, corpus_pipeline.mix_sources):
+            assert stage(spark, docs, SMALL).rdd.getNumPartitions() <= most
+        numbers = spark.range(0, 5_000, 1, 100)
+        assert shared.in_few(numbers).rdd.getNumPartitions() == 1 and shared.in_few(numbers).agg(F.sum("id")).first()[0] == 4_999 * 2_500
+        monkeypatch.setattr(shared, "FILE", 400)  # read in full: 40,000 bytes are 100 files
+        assert shared.in_few(numbers).rdd.getNumPartitions() == 100
+        assert shared.in_few(spark.createDataFrame(numbers.rdd, "id long")).rdd.getNumPartitions() == 100  # of unknown size
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(5)
     a, b = (rng.integers(0, 2**63, 900, dtype=np.uint64) for _ in range(2))
