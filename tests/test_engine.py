@@ -272,6 +272,20 @@ def test_equal_word_sets_are_sketched_once(spark, mode, monkeypatch):
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("mode, verified", [("name", False), ("joint", True)])
+def test_whole_parts_agree_with_bands(spark, sample, monkeypatch, mode, verified):
+    """Parts met as a whole, in blocks of few queries and cells, and parts met by a join of bands: the same rows."""
+    recs = copied_records(spark)[0].unionByName(sample[0]).cache()
+    found = lambda: {(r.q, r.t, r.source): r.score for r in retrieve.minhash_hits(recs, mode, 4, verified).collect()}
+    monkeypatch.setattr(index, "WHOLE", 0)
+    want = found()
+    monkeypatch.setattr(index, "WHOLE", 16_384)
+    monkeypatch.setattr(retrieve, "met_by_bands", None)
+    monkeypatch.setattr(index, "ASKED", 150)
+    monkeypatch.setattr(index, "CELLS", 300)
+    assert found() == want and len(want) > 50
+
+
 def test_queries_that_are_alike_are_asked_once(spark):
     recs = copied_records(spark)[0].cache()
     channels, queries = ("rare", "address", "minhash_joint"), recs.where("source = 1")
