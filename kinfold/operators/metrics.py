@@ -131,10 +131,19 @@ def reached(universe: DataFrame, truth: DataFrame, found: DataFrame, alike: Data
 
 def retrieval_report(universe: DataFrame, truth: DataFrame, candidates: DataFrame, hits: DataFrame, overflow: DataFrame, alike: DataFrame | None = None) -> DataFrame:
     """One row about the candidates of all queries: how many, how far a perfect choice could go before
-    and after the cut, and nearest-rank percentiles of how many a query has."""
-    rows = reached(universe, truth, candidates, alike)
-    before = reached(universe, truth, hits, alike).agg(F.avg("oracle").alias("precap_oracle"))
-    many = overflow.join(universe, "q", "left_semi").agg(F.count("*").alias("exact_overflows"))
+    and after the cut, and nearest-rank percentiles of how many a query has.  Both are counted in one pass,
+    and no table of queries, truth or hits goes through the driver."""
+    same = universe.select("q", F.col("q").alias("first")) if alike is None else alike
+    flagged = lambda rows, cut, met: rows.select(F.col("q").alias("first"), "t", F.lit(cut).alias("cut"), F.lit(met).alias("met"))
+    own = flagged(candidates, 1, 0).unionByName(flagged(hits, 0, 1)).groupBy("first", "t").agg(F.max("cut").alias("cut"), F.max("met").alias("met"))
+    own = saved(own)
+    n = own.groupBy("first").agg(F.sum("cut").alias("candidates"))
+    # millions of hits are few bytes on disk, by which Spark would send them through the driver
+    true = truth.join(same.hint("merge"), "q", "left").join(own.hint("merge"), ["first", "t"], "left")
+    true = true.groupBy("q").agg(F.count("*").alias("m"), F.sum("cut").alias("hit"), F.sum("met").alias("met"))
+    rows = universe.select("q").join(same.hint("merge"), "q", "left").join(n.hint("merge"), "first", "left").join(true.hint("merge"), "q", "left").fillna(0)
+    rows = rows.select("m", "candidates", "hit", ceiling(F.col("hit"), F.col("m")).alias("oracle"), ceiling(F.col("met"), F.col("m")).alias("before"))
+    many = overflow.join(universe.hint("merge"), "q", "left_semi").agg(F.count("*").alias("exact_overflows"))
     report = rows.agg(
         F.count("*").alias("queries"),
         F.sum("candidates").alias("pairs"),
@@ -143,8 +152,9 @@ def retrieval_report(universe: DataFrame, truth: DataFrame, candidates: DataFram
         *[F.expr(f"percentile_disc({x}) within group (order by candidates)").cast("long").alias(f"p{round(100 * x)}_k") for x in (0.95, 0.99)],
         F.max("candidates").alias("max_k"),
         F.try_divide(F.sum("hit"), F.sum("m")).alias("pair_recall"),
+        F.avg("before").alias("precap_oracle"),
     )
-    return report.join(F.broadcast(before)).join(F.broadcast(many))
+    return report.join(F.broadcast(many))
 
 
 def budget_curve(universe: DataFrame, truth: DataFrame, hits: DataFrame, values: tuple[int, ...] = (5, 10, 20, 40, 60, 100), alike: DataFrame | None = None) -> DataFrame:

@@ -495,6 +495,21 @@ def test_metric_identities(spark):
     assert empty.pair_recall is None and empty.complete_recall is None and empty.oracle == 1
 
 
+def test_retrieval_report_sends_no_table_through_the_driver(spark):
+    """Not even with tables that seem small enough to Spark."""
+    rng = random.Random(3)
+    universe, same = spark.range(40).withColumnRenamed("id", "q"), spark.range(40).selectExpr("id as q", "id % 20 as first")
+    truth = spark.createDataFrame([(q, t) for q in range(36) for t in rng.sample(range(30), q % 3)], "q long, t long")
+    hits = spark.createDataFrame([(q, t) for q in range(20) for t in rng.sample(range(30), 9) for _ in range(2)], "q long, t long")
+    cut = hits.where("t % 2 = 0").distinct()
+    found = metrics.retrieval_report(universe, truth, cut, hits, universe.where("q < 5"), same)
+    # the one row of counts may go through it
+    assert found._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") == 0
+    rows, before = (metrics.reached(universe, truth, x, same).agg(F.avg("oracle"), F.sum("candidates"), F.try_divide(F.sum("hit"), F.sum("m"))).first() for x in (cut, hits))
+    got = found.first()
+    assert (got.oracle, got.pairs, got.pair_recall, got.precap_oracle, got.queries, got.exact_overflows) == pytest.approx((*rows, before[0], 40, 5))
+
+
 def test_threshold_sweep_against_brute_force(spark):
     rng = random.Random(42)
     rows = [(q, {t for t in range(6) if rng.random() < 0.35}, [(t, rng.choice([0.0, 0.1, 0.5, 0.9, 1.0])) for t in range(8) if rng.random() < 0.65]) for q in range(150)]
