@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
@@ -99,12 +103,15 @@ def grouped_oof(rows: DataFrame, folds: int = 3, trees: int = FOLD_TREES, featur
     """``rows`` with p from models that saw no row of the same component."""
     fold = F.pmod(hashed(F.col("component")), F.lit(folds))
     parts = rows.withColumn("fold", fold)
-    out = None
-    for f in range(folds):
-        train = parts.where(F.col("fold") != f)
-        one = predict(train_model(train, None, trees, features, step, leaf), parts.where(F.col("fold") == f))
-        out = one if out is None else out.unionByName(one)
-    return out.drop("fold")
+    spark = rows.sparkSession
+
+    def of(f: int) -> DataFrame:
+        return predict(train_model(parts.where(F.col("fold") != f), None, trees, features, step, leaf), parts.where(F.col("fold") == f))
+
+    # a fit is many small jobs, one after the other, so the fits go side by side
+    with ThreadPoolExecutor(folds) as pool:
+        done = [pool.submit(inheritable_thread_target(spark)(of), f) for f in range(folds)]
+    return reduce(DataFrame.unionByName, [d.result() for d in done]).drop("fold")
 
 
 def hard_negatives(scored: DataFrame, truth: DataFrame, splits: DataFrame, cap: int | None = 100_000) -> DataFrame:

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests import fixtures
+from kinfold import queries as registered
 from kinfold.functions import indic, terms
 from kinfold.functions import similarity as S
 from kinfold.functions import text as T
@@ -566,6 +567,17 @@ def test_calibration(spark):
         model.Calibrator("platt").fit(df.where("y = 0"))
 
 
+def test_out_of_fold_scores_take_all_trees(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, i, i % 2, float(i % 2), i // 2) for i in range(40)], "q long, t long, y int, like double, component long").cache()
+    grouped, train, seen = model.grouped_oof, model.train_model, []
+    monkeypatch.setattr(registered, "_labelled", lambda s, d: rows)
+    monkeypatch.setattr(model, "train_model", lambda df, stop, trees, *more: seen.append(trees) or train(df, stop, 2, *more))
+    monkeypatch.setattr(model, "grouped_oof", lambda df, *more, **named: grouped(df, *more, features=["like"], leaf=1, **named))
+    got = {r.q: (r.y, r.p) for r in registered.oof_scores(spark, "").collect()}
+    assert seen == [model.FOLD_TREES] * 3 == [250] * 3
+    assert len(got) == 40 and all((p > 0.5) == (y == 1) for y, p in got.values())
+
+
 def test_hard_negatives(spark):
     scored = spark.createDataFrame([(1, 1, 0.9), (1, 2, 0.8), (1, 3, 0.8), (2, 4, 0.1)], "q long, t long, p double")
     truth = spark.createDataFrame([(1, 1)], "q long, t long")
